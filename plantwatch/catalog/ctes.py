@@ -273,7 +273,8 @@ def _bounds() -> str:
 def _clipped() -> str:
     cols = ", ".join(
         f"CASE WHEN (SELECT clips FROM ml_bounds WHERE c = '{c}') "
-        f"THEN greatest(least({c}, (SELECT hi FROM ml_bounds WHERE c = '{c}')), (SELECT lo FROM ml_bounds WHERE c = '{c}')) "
+        f"THEN greatest(least(coalesce({c}, (SELECT q2 FROM ml_bounds WHERE c = '{c}')), (SELECT hi FROM ml_bounds WHERE c = '{c}')), "
+        f"(SELECT lo FROM ml_bounds WHERE c = '{c}')) "
         f"ELSE {c} END AS {c}"
         for c in FEATURES
     )
@@ -293,7 +294,7 @@ ml_derived AS (
          avg_vibration * avg_vibration AS vibration_squared,
          CAST(days_since_maintenance > 180 AS DOUBLE) AS maintenance_overdue,
          CAST(days_since_maintenance > 365 AS DOUBLE) AS maintenance_urgent,
-         ln(1 + days_since_maintenance) AS log_days_maintenance,
+         CASE WHEN days_since_maintenance > -1 THEN ln(1 + days_since_maintenance) WHEN days_since_maintenance = -1 THEN '-inf'::DOUBLE END AS log_days_maintenance,
          high_temperature + high_vibration + needs_maintenance_soon AS total_risk_factors,
          CAST(high_temperature + high_vibration + needs_maintenance_soon > 0 AS DOUBLE) AS any_risk_factor,
          avg_power / CASE WHEN avg_temperature = 0 THEN 1 ELSE avg_temperature END AS power_efficiency,

@@ -289,11 +289,11 @@ _NAMED = [
 ]
 
 _K2 = """
-SELECT reading_type, n AS n_samples, round(k2, 8) AS k2, round(exp(-k2 / 2), 8) AS p_value,
+SELECT reading_type, n AS n_samples, round(k2, 3) AS k2, round(exp(-k2 / 2), 8) AS p_value,
        CASE WHEN k2 IS NOT NULL THEN CAST(exp(-k2 / 2) > 0.05 AS BIGINT) END AS is_normal
 FROM (
   SELECT reading_type, n,
-         pow(delta * asinh(CASE WHEN y = 0 THEN 1 ELSE y END / alpha), 2)
+         pow(delta * asinh(y / alpha), 2)
          + pow((1 - 2 / (9 * a) - sign(d) * pow((1 - 2 / a) / abs(d), 1.0::DOUBLE / 3)) / sqrt(2 / (9 * a)), 2) AS k2
   FROM (
     SELECT *, 1 / sqrt(0.5 * ln(w2)) AS delta, sqrt(2 / (w2 - 1)) AS alpha, 1 + x * sqrt(2 / (a - 4)) AS d

@@ -417,7 +417,7 @@ def _(e):
 
 @query("normality_k2")
 def _(e):
-    return profile.normality(e.telemetry)
+    return profile.normality(e.telemetry).withColumn("k2", F.round("k2", 3))
 
 
 @query("hist_device_age")

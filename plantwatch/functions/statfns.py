@@ -19,7 +19,8 @@ def k_squared(n: Column, skewness: Column, excess_kurtosis: Column) -> Column:
     """D'Agostino-Pearson omnibus statistic from population moments (needs n >= 8).
 
     Sum of the squared normal scores of the sample skewness (D'Agostino 1970) and the
-    sample kurtosis (Anscombe & Glynn 1983).
+    sample kurtosis (Anscombe & Glynn 1983). A skewness of exactly zero scores zero: special
+    treatment of that single value would make the result hang on rounding noise.
     """
     n = n.cast("double")
     return F.pow(_skewness_score(n, skewness), 2) + F.pow(_kurtosis_score(n, excess_kurtosis), 2)
@@ -39,7 +40,6 @@ def _skewness_score(n: Column, g1: Column) -> Column:
     w2 = F.sqrt(2 * (beta - 1)) - 1
     delta = 1 / F.sqrt(0.5 * F.log(w2))
     alpha = F.sqrt(2 / (w2 - 1))
-    y = F.when(y == 0, F.lit(1.0)).otherwise(y)
     return delta * F.asinh(y / alpha)
 
 

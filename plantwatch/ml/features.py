@@ -18,8 +18,9 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plantwatch.functions.bands import flag, outside
-from plantwatch.operators.quantiles import exact_quantiles
+from plantwatch.operators.quantiles import distinct_estimate, exact_quantiles
 from plantwatch.params import MIN_READINGS, FeatureLimits
+from plantwatch.session import materialise
 
 # Column roles of the learning table.
 LABEL = "will_fail"
@@ -115,7 +116,9 @@ def derive(df: DataFrame, power_threshold: float | None, limits: FeatureLimits =
         d = F.col("days_since_maintenance")
         new["maintenance_overdue"] = flag(d > limits.overdue_days)
         new["maintenance_urgent"] = flag(d > limits.urgent_days)
-        new["log_days_maintenance"] = F.log1p(F.coalesce(d.cast("double"), F.lit(0.0)))
+        days = F.coalesce(d.cast("double"), F.lit(0.0))
+        # One day before maintenance has the limit value, earlier days have none.
+        new["log_days_maintenance"] = F.when(days == -1, F.lit(float("-inf"))).otherwise(F.log1p(days))
     if have.issuperset(RISK_FLAGS):
         flags = [F.coalesce(F.col(c), F.lit(0)) for c in RISK_FLAGS]
         total = reduce(lambda a, b: a + b, flags)
@@ -153,7 +156,7 @@ def columns_with_many_values(df: DataFrame, columns: list[str], more_than: int)
     """
     if not columns:
         return []
-    rough = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in columns]).first()
+    rough = df.agg(*[distinct_estimate(c).alias(c) for c in columns]).first()
     many = {c for c in columns if rough[c] >= CERTAINLY_MANY}
     unclear = [c for c in columns if c not in many]
     if unclear:
@@ -193,7 +196,8 @@ class FeaturePrep(Estimator, _State, DefaultParamsReadable, DefaultParamsWritabl
         threshold = None
         if "avg_power" in filled.columns:
             threshold = exact_quantiles(filled, ["avg_power"], [limits.power_quantile])["avg_power"][0]
-        derived = derive(encode_categories(filled, vocabulary), threshold)
+        # Stored once: the passes below each read only their columns of it.
+        derived = materialise(derive(encode_categories(filled, vocabulary), threshold), "derived")
         indicators = tuple(f"is_{v}" for v in vocabulary.get("device_type", []))
         candidates = numeric_columns(derived, exclude=(LABEL, *LEAKS, *BINARY_DERIVED, *indicators))
         wide = columns_with_many_values(derived, candidates, limits.clip_min_distinct)

@@ -154,9 +154,9 @@ def pooled_by(df: DataFrame, key: str, sensors=SENSORS, poor: Column | None = No
 
 
 def _bin_of(value: Column, low: float, high: float, bins: int) -> Column:
-    """0-based bin; the last bin includes its upper edge."""
+    """0-based bin; the last bin includes its upper edge. No value, no bin."""
     raw = F.floor((value - F.lit(low)) * F.lit(float(bins)) / F.lit(high - low))
-    return F.least(raw, F.lit(bins - 1)).cast("int")
+    return F.when(raw.isNotNull(), F.least(raw, F.lit(bins - 1))).cast("int")
 
 
 def histogram(df: DataFrame, columns: list[str], bins: int) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 RELATIVE_ERROR = 1e-3
 BRACKET_ROWS = 1_000_000
 MAX_ROUNDS = 8
+SMALL_DOMAIN = 10_000
 
 
 @dataclass
@@ -35,45 +36,65 @@ def _values(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float]
+    df: DataFrame, columns: list[str], probabilities: list[float], small: int = SMALL_DOMAIN
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of the non-missing values of each column.
 
-    The result is a handful of numbers per column; its size does not depend on the rows.
+    Columns with at most ``small`` distinct values take the built-in aggregate, whose memory
+    is one counter per distinct value. The result is a handful of numbers per column; its size
+    does not depend on the rows.
     """
     if not columns:
         return {}
     values = _values(df, columns)
-    margin = [
-        min(1.0, max(0.0, p + side * 2 * RELATIVE_ERROR)) for p in probabilities for side in (-1, 1)
-    ]
-    sketch = dict(zip(columns, values.approxQuantile(columns, margin, RELATIVE_ERROR)))
     stats = values.agg(*[
-        F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
+        F.struct(
+            F.count(c).alias("n"),
+            F.min(c).alias("lo"),
+            F.max(c).alias("hi"),
+            distinct_estimate(c).alias("distinct"),
+        ).alias(c)
         for c in columns
     ]).first()
+    filled = [c for c in columns if stats[c]["n"]]
+    few = [c for c in filled if stats[c]["distinct"] <= small]
+    many = [c for c in filled if c not in few]
+    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    if few:
+        wanted = F.array(*map(F.lit, probabilities))
+        row = values.agg(*[F.percentile(c, wanted).alias(c) for c in few]).first()
+        result.update({c: list(row[c]) for c in few})
+    if many:
+        result.update(_bracketed(values, many, probabilities, stats))
+    return result
+
+
+def distinct_estimate(column: str):
+    """Sketched number of distinct non-missing values; the sketch is one small object."""
+    hashed = F.when(F.col(column).isNotNull(), F.xxhash64(column))
+    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(hashed, 11)), F.lit(0))
 
+
+def _bracketed(values, columns, probabilities, stats):
+    margin = [
+        min(1.0, max(0.0, p + side * 2 * RELATIVE_ERROR)) for p in probabilities for side in (-1, 1)
+    ]
+    sketch = dict(zip(columns, values.approxQuantile(columns, margin, RELATIVE_ERROR)))
     brackets: dict[tuple[str, int], _Bracket] = {}
     for c in columns:
-        n = stats[c]["n"]
         for i, p in enumerate(probabilities):
-            if n == 0:
-                continue
-            position = p * (n - 1)
+            position = p * (stats[c]["n"] - 1)
             ranks = (math.floor(position), math.ceil(position))
             brackets[c, i] = _Bracket(c, ranks, sketch[c][2 * i], sketch[c][2 * i + 1])
-
     found = _select_ranks(values, brackets, {c: (stats[c]["lo"], stats[c]["hi"]) for c in columns})
-    result: dict[str, list[float | None]] = {}
+    result = {}
     for c in columns:
-        row: list[float | None] = []
+        row = []
         for i, p in enumerate(probabilities):
-            if (c, i) not in found:
-                row.append(None)
-                continue
             low, high = found[c, i]
-            fraction = p * (stats[c]["n"] - 1) - math.floor(p * (stats[c]["n"] - 1))
-            row.append(low + (high - low) * fraction)
+            position = p * (stats[c]["n"] - 1)
+            part = position - math.floor(position)
+            row.append(low if part == 0 or low == high else low + (high - low) * part)
         result[c] = row
     return result
 
@@ -146,13 +167,14 @@ def _rank(values, brackets, counts):
     # Distinct values of one narrowed bracket: bounded by BRACKET_ROWS.
     running = Window.partitionBy("bracket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn("upto", F.sum("copies").over(running))
-    first, second = F.lit(None), F.lit(None)
-    for j, k in enumerate(keys):
-        below = counts[k][0]
-        first = F.when(F.col("bracket") == j, F.lit(brackets[k].ranks[0] - below)).otherwise(first)
-        second = F.when(F.col("bracket") == j, F.lit(brackets[k].ranks[1] - below)).otherwise(second)
+    wanted = F.element_at(
+        F.array(*[
+            F.array(*[F.lit(r - counts[k][0]) for r in brackets[k].ranks]) for k in keys
+        ]),
+        F.col("bracket") + 1,
+    )
     rows = ranked.groupBy("bracket").agg(
-        F.min(F.when(F.col("upto") > first, F.col("v"))).alias("low"),
-        F.min(F.when(F.col("upto") > second, F.col("v"))).alias("high"),
+        F.min(F.when(F.col("upto") > wanted[0], F.col("v"))).alias("low"),
+        F.min(F.when(F.col("upto") > wanted[1], F.col("v"))).alias("high"),
     ).collect()  # one row per bracket
     return {keys[r["bracket"]]: (r["low"], r["high"]) for r in rows}
