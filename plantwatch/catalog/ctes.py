@@ -140,8 +140,8 @@ GOLD = """
 hourly AS (
   SELECT *, CASE WHEN high_temperature + high_vibration + needs_maintenance_soon = 0 THEN 1.0 ELSE 0.0 END AS health_score
   FROM (
-    SELECT *, CASE WHEN avg_temperature > 75 THEN 1 ELSE 0 END AS high_temperature,
-           CASE WHEN avg_vibration > 8 THEN 1 ELSE 0 END AS high_vibration,
+    SELECT *, CASE WHEN round(avg_temperature, 9) > 75 THEN 1 ELSE 0 END AS high_temperature,
+           CASE WHEN round(avg_vibration, 9) > 8 THEN 1 ELSE 0 END AS high_vibration,
            CASE WHEN days_since_maintenance > 60 THEN 1 ELSE 0 END AS needs_maintenance_soon
     FROM (
       SELECT device_id, date_trunc('hour', "timestamp") AS hour_bucket, device_type, location,
@@ -289,8 +289,8 @@ ml_timed AS (
 {_median_filled()},
 ml_derived AS (
   SELECT *, abs(avg_temperature - 70) AS temp_deviation,
-         CAST(coalesce(avg_temperature > 75 OR avg_temperature < 65, FALSE) AS DOUBLE) AS temp_risk,
-         CAST(coalesce(avg_vibration > 8, FALSE) AS DOUBLE) AS vibration_risk,
+         CAST(coalesce(round(avg_temperature, 9) > 75 OR round(avg_temperature, 9) < 65, FALSE) AS DOUBLE) AS temp_risk,
+         CAST(coalesce(round(avg_vibration, 9) > 8, FALSE) AS DOUBLE) AS vibration_risk,
          avg_vibration * avg_vibration AS vibration_squared,
          CAST(days_since_maintenance > 180 AS DOUBLE) AS maintenance_overdue,
          CAST(days_since_maintenance > 365 AS DOUBLE) AS maintenance_urgent,
@@ -298,7 +298,7 @@ ml_derived AS (
          high_temperature + high_vibration + needs_maintenance_soon AS total_risk_factors,
          CAST(high_temperature + high_vibration + needs_maintenance_soon > 0 AS DOUBLE) AS any_risk_factor,
          avg_power / CASE WHEN avg_temperature = 0 THEN 1 ELSE avg_temperature END AS power_efficiency,
-         CAST(avg_power > (SELECT quantile_cont(avg_power, 0.75) FROM ml_filled) AS DOUBLE) AS high_power_consumption,
+         CAST(round(avg_power, 9) > (SELECT round(quantile_cont(avg_power, 0.75), 9) FROM ml_filled) AS DOUBLE) AS high_power_consumption,
          least(reading_count / 50, 1.0::DOUBLE) AS data_quality_score,
          CAST(reading_count < 20 AS DOUBLE) AS low_data_quality,
          CAST(dense_rank() OVER (ORDER BY device_type) - 1 AS DOUBLE) AS device_type_encoded,

@@ -589,7 +589,7 @@ STREAMS = {
         _HOURLY_NUMS,
     ),
     "stream_ml_features": _select(
-        """(SELECT * FROM ml_table m WHERE hour_bucket IS NOT NULL AND (will_fail = 1 OR hour_bucket <
+        """(SELECT * FROM ml_table m WHERE hour_bucket IS NOT NULL AND (will_fail = 1 OR hour_bucket <=
               least((SELECT max(hour_bucket) FROM hourly), (SELECT max(prediction_hour) FROM labels_hourly)) - INTERVAL 192 HOUR))""",
         _ML_PLAIN, _ML_INTS, _ML_NUMS,
     ),

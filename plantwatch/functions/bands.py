@@ -25,5 +25,14 @@ def outside(value: Column, band: Band) -> Column:
     return (value > band.high) | (value < band.low)
 
 
+def settled(average: Column) -> Column:
+    """An average without its rounding noise.
+
+    Sums of doubles depend on the order in which tasks add them, so an average that equals a
+    limit exactly could fall on either side of it. Compare this instead of the raw average.
+    """
+    return F.round(average, 9)
+
+
 def score(condition: Column) -> Column:
     return F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0))

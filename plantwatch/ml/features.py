@@ -17,8 +17,8 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from plantwatch.functions.bands import flag, outside
-from plantwatch.operators.quantiles import distinct_estimate, exact_quantiles
+from plantwatch.functions.bands import flag, outside, settled
+from plantwatch.operators.quantiles import ColumnStats, column_stats, exact_quantiles
 from plantwatch.params import MIN_READINGS, FeatureLimits
 from plantwatch.session import materialise
 
@@ -107,10 +107,10 @@ def derive(df: DataFrame, power_threshold: float | None, limits: FeatureLimits =
     if "avg_temperature" in have:
         t = F.col("avg_temperature")
         new["temp_deviation"] = F.abs(t - limits.ideal_temperature)
-        new["temp_risk"] = flag(outside(t, limits.temp_band))
+        new["temp_risk"] = flag(outside(settled(t), limits.temp_band))
     if "avg_vibration" in have:
         v = F.col("avg_vibration")
-        new["vibration_risk"] = flag(v > limits.vibration_above)
+        new["vibration_risk"] = flag(settled(v) > limits.vibration_above)
         new["vibration_squared"] = v * v
     if "days_since_maintenance" in have:
         d = F.col("days_since_maintenance")
@@ -129,7 +129,8 @@ def derive(df: DataFrame, power_threshold: float | None, limits: FeatureLimits =
         t = F.col("avg_temperature")
         new["power_efficiency"] = F.col("avg_power") / F.when(t == 0, F.lit(1.0)).otherwise(t)
         new["high_power_consumption"] = (
-            F.lit(0) if power_threshold is None else flag(F.col("avg_power") > power_threshold)
+            F.lit(0) if power_threshold is None
+            else flag(settled(F.col("avg_power")) > F.lit(round(power_threshold, 9)))
         )
     if "reading_count" in have:
         n = F.col("reading_count")
@@ -148,16 +149,15 @@ def clip(df: DataFrame, bounds: dict[str, list[float]], medians: dict[str, float
     return df.withColumns({c: clipped(c, *b) for c, b in bounds.items() if c in df.columns})
 
 
-def columns_with_many_values(df: DataFrame, columns: list[str], more_than: int) -> list[str]:
+def columns_with_many_values(
+    df: DataFrame, columns: list[str], more_than: int, stats: dict[str, ColumnStats]
+) -> list[str]:
     """Columns with more than ``more_than`` distinct non-missing values.
 
-    A sketch settles the clear cases; only columns it sees few values in are counted exactly,
-    which then needs memory for those few values only.
+    The sketched counts settle the clear cases; only columns with few values are counted
+    exactly, which then needs memory for those few values only.
     """
-    if not columns:
-        return []
-    rough = df.agg(*[distinct_estimate(c).alias(c) for c in columns]).first()
-    many = {c for c in columns if rough[c] >= CERTAINLY_MANY}
+    many = {c for c in columns if stats[c].distinct >= CERTAINLY_MANY}
     unclear = [c for c in columns if c not in many]
     if unclear:
         exact = df.agg(*[F.size(F.collect_set(c)).alias(c) for c in unclear]).first()
@@ -186,10 +186,11 @@ class FeaturePrep(Estimator, _State, DefaultParamsReadable, DefaultParamsWritabl
         limits = FeatureLimits()
         base = time_parts(dataset)
         numbers = numeric_columns(base, exclude=(LABEL,))
-        nulls = base.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in numbers]).first()
-        gappy = [c for c in numbers if nulls[c] > 0]
+        stats = column_stats(base, numbers)
+        rows = base.count()
+        gappy = [c for c in numbers if stats[c].n < rows]
         medians = {
-            c: q[0] for c, q in exact_quantiles(base, gappy, [0.5]).items() if q[0] is not None
+            c: q[0] for c, q in exact_quantiles(base, gappy, [0.5], stats=stats).items() if q[0] is not None
         }
         vocabulary = _vocabulary(base)
         filled = fill_medians(base, medians)
@@ -200,9 +201,10 @@ class FeaturePrep(Estimator, _State, DefaultParamsReadable, DefaultParamsWritabl
         derived = materialise(derive(encode_categories(filled, vocabulary), threshold), "derived")
         indicators = tuple(f"is_{v}" for v in vocabulary.get("device_type", []))
         candidates = numeric_columns(derived, exclude=(LABEL, *LEAKS, *BINARY_DERIVED, *indicators))
-        wide = columns_with_many_values(derived, candidates, limits.clip_min_distinct)
+        stats = column_stats(derived, candidates)
+        wide = columns_with_many_values(derived, candidates, limits.clip_min_distinct, stats)
         bounds, fills = {}, {}
-        for c, (q1, q2, q3) in exact_quantiles(derived, wide, [0.25, 0.5, 0.75]).items():
+        for c, (q1, q2, q3) in exact_quantiles(derived, wide, [0.25, 0.5, 0.75], stats=stats).items():
             fills[c] = q2
             if q3 > q1:
                 reach = limits.clip_iqr_factor * (q3 - q1)
@@ -280,13 +282,14 @@ class ColumnScaler(Estimator, _State, DefaultParamsReadable, DefaultParamsWritab
 
     def _fit(self, dataset: DataFrame) -> "ColumnScalerModel":
         columns = self.getOrDefault("inputCols") or numeric_columns(dataset, exclude=(LABEL,))
+        stats = column_stats(dataset, columns)
         if self.getOrDefault("skipBinary"):
-            columns = columns_with_many_values(dataset, columns, 2)
+            columns = columns_with_many_values(dataset, columns, 2, stats)
         if self.getOrDefault("kind") == "robust":
-            quartiles = exact_quantiles(dataset, columns, [0.25, 0.5, 0.75])
+            quartiles = exact_quantiles(dataset, columns, [0.25, 0.5, 0.75], stats=stats)
             scale = {c: [q2, q3 - q1, q2] for c, (q1, q2, q3) in quartiles.items() if q2 is not None}
         elif self.getOrDefault("kind") == "standard":
-            medians = exact_quantiles(dataset, columns, [0.5])
+            medians = exact_quantiles(dataset, columns, [0.5], stats=stats)
             filled = dataset.select(*[
                 F.coalesce(F.col(c).cast("double"), F.lit(medians[c][0])).alias(c) for c in columns
             ])

@@ -85,23 +85,27 @@ def grid_search(
     """Mean ROC-AUC of every candidate over stratified folds, best first.
 
     Preparation does not depend on the candidates, so it is fitted once per fold and never on
-    the fold's validation rows; candidates of a fold train concurrently.
+    the fold's validation rows. Folds, then fits, run ``parallelism`` at a time.
     """
     folded = stratified_folds(train, LABEL, keys, folds)
     scores: dict[BoostParams, list[float]] = {c: [] for c in candidates}
-    for k in range(folds):
+
+    def fold(k: int) -> tuple[DataFrame, DataFrame]:
         fit_rows = folded.filter(F.col("fold") != k).drop("fold")
         check_rows = folded.filter(F.col("fold") == k).drop("fold")
         prepared = prepare(fit_rows, handle_invalid="keep")
-        fit_matrix, check_matrix = matrix(prepared, fit_rows), matrix(prepared, check_rows)
-
-        def auc(params: BoostParams) -> float:
-            predicted = params.classifier().fit(fit_matrix).transform(check_matrix)
-            return roc_auc(with_scores(predicted)).first()["roc_auc"]
-
-        with ThreadPool(min(parallelism, len(candidates))) as pool:
-            for params, value in zip(candidates, pool.map(auc, candidates)):
-                scores[params].append(value)
+        return matrix(prepared, fit_rows), matrix(prepared, check_rows)
+
+    def auc(task: tuple[BoostParams, tuple[DataFrame, DataFrame]]) -> float:
+        params, (fit_matrix, check_matrix) = task
+        predicted = params.classifier().fit(fit_matrix).transform(check_matrix)
+        return roc_auc(with_scores(predicted)).first()["roc_auc"]
+
+    with ThreadPool(parallelism) as pool:
+        matrices = pool.map(fold, range(folds))
+        tasks = [(c, m) for c in candidates for m in matrices]
+        for (params, _), value in zip(tasks, pool.map(auc, tasks, chunksize=1)):
+            scores[params].append(value)
     ranked = [{**asdict(c), "auc": sum(v) / len(v)} for c, v in scores.items()]
     return sorted(ranked, key=lambda r: -r["auc"])
 

@@ -35,8 +35,32 @@ def _values(df: DataFrame, columns: list[str]) -> DataFrame:
     ])
 
 
+@dataclass(frozen=True)
+class ColumnStats:
+    """Non-missing values of a column: how many, extremes, sketched number of distinct ones."""
+
+    n: int
+    low: float | None
+    high: float | None
+    distinct: int
+
+
+def column_stats(df: DataFrame, columns: list[str]) -> dict[str, ColumnStats]:
+    """Statistics of many columns from one pass."""
+    if not columns:
+        return {}
+    row = _values(df, columns).agg(*[
+        F.struct(F.count(c), F.min(c), F.max(c), distinct_estimate(c)).alias(c) for c in columns
+    ]).first()
+    return {c: ColumnStats(*row[c]) for c in columns}
+
+
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], small: int = SMALL_DOMAIN
+    df: DataFrame,
+    columns: list[str],
+    probabilities: list[float],
+    small: int = SMALL_DOMAIN,
+    stats: dict[str, ColumnStats] | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of the non-missing values of each column.
 
@@ -47,17 +71,9 @@ def exact_quantiles(
     if not columns:
         return {}
     values = _values(df, columns)
-    stats = values.agg(*[
-        F.struct(
-            F.count(c).alias("n"),
-            F.min(c).alias("lo"),
-            F.max(c).alias("hi"),
-            distinct_estimate(c).alias("distinct"),
-        ).alias(c)
-        for c in columns
-    ]).first()
-    filled = [c for c in columns if stats[c]["n"]]
-    few = [c for c in filled if stats[c]["distinct"] <= small]
+    stats = column_stats(df, columns) if stats is None else stats
+    filled = [c for c in columns if stats[c].n]
+    few = [c for c in filled if stats[c].distinct <= small]
     many = [c for c in filled if c not in few]
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
     if few:
@@ -83,16 +99,16 @@ def _bracketed(values, columns, probabilities, stats):
     brackets: dict[tuple[str, int], _Bracket] = {}
     for c in columns:
         for i, p in enumerate(probabilities):
-            position = p * (stats[c]["n"] - 1)
+            position = p * (stats[c].n - 1)
             ranks = (math.floor(position), math.ceil(position))
             brackets[c, i] = _Bracket(c, ranks, sketch[c][2 * i], sketch[c][2 * i + 1])
-    found = _select_ranks(values, brackets, {c: (stats[c]["lo"], stats[c]["hi"]) for c in columns})
+    found = _select_ranks(values, brackets, {c: (stats[c].low, stats[c].high) for c in columns})
     result = {}
     for c in columns:
         row = []
         for i, p in enumerate(probabilities):
             low, high = found[c, i]
-            position = p * (stats[c]["n"] - 1)
+            position = p * (stats[c].n - 1)
             part = position - math.floor(position)
             row.append(low if part == 0 or low == high else low + (high - low) * part)
         result[c] = row

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from plantwatch.functions.bands import flag, score
+from plantwatch.functions.bands import flag, score, settled
 from plantwatch.functions.timefns import hour_of
 from plantwatch.params import (
     EXPENSIVE_ABOVE,
@@ -37,8 +37,8 @@ def device_features(
         # Constant within an hour of one device snapshot; the maximum is always well defined.
         F.max("days_since_last_maintenance").alias("days_since_maintenance"),
     )
-    hot = flag(F.col("avg_temperature") > limits.hot_above)
-    vibrating = flag(F.col("avg_vibration") > limits.vibrating_above)
+    hot = flag(settled(F.col("avg_temperature")) > limits.hot_above)
+    vibrating = flag(settled(F.col("avg_vibration")) > limits.vibrating_above)
     due = flag(F.col("days_since_maintenance") > limits.maintenance_after_days)
     start = F.col("hour_bucket") if hour is None else F.col("hour_bucket.start")
     return hourly.select(
