@@ -24,7 +24,7 @@ from plantwatch.sources.landing import ingest, land
 from plantwatch.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+FRAMES: dict[str, Callable[[Entities], DataFrame]] = {}
 
 AS_OF_DAY = "2024-02-01"
 CUTOFF = "2024-01-20T00:00:00"
@@ -32,14 +32,25 @@ CUTOFF = "2024-01-20T00:00:00"
 
 def query(name: str):
     def register(fn: Callable[[Entities], DataFrame]):
-        QUERIES[name] = lambda spark, folder: comparable(fn(entities(spark, folder)))
+        FRAMES[name] = fn
         return fn
 
     return register
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    """Every query with its result made comparable across engines."""
+    return {
+        name: lambda spark, folder, fn=fn: comparable(fn(entities(spark, folder)))
+        for name, fn in FRAMES.items()
+    }
+
+
+def plain_queries() -> dict[str, Query]:
+    """The same queries as the operators give them: unrounded, with their own types."""
+    return {
+        name: lambda spark, folder, fn=fn: fn(entities(spark, folder)) for name, fn in FRAMES.items()
+    }
 
 
 @lru_cache(maxsize=8)

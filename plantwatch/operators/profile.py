@@ -1,9 +1,4 @@
-"""Descriptive statistics.
-
-Sensor columns are summarised side by side and only the one-row result is turned into rows,
-so no per-sensor copies of the readings are made. Wherever a "reading" is counted it is one
-non-missing sensor value.
-"""
+"""Descriptive statistics. A "reading" is one non-missing sensor value."""
 
 from __future__ import annotations
 
@@ -59,23 +54,21 @@ def describe(df: DataFrame, column: str) -> DataFrame:
 
 
 def moments(df: DataFrame, columns=SENSORS) -> DataFrame:
-    """Per column: count, mean, deviation, extremes, population skewness and excess kurtosis, cv."""
-    fields = {
-        "count": F.count,
-        "mean": F.avg,
-        "std": F.stddev_samp,
-        "min": F.min,
-        "max": F.max,
-        "skewness": F.skewness,
-        "kurtosis": F.kurtosis,
-    }
-    wide = df.agg(*[
-        F.struct(*[fn(c).alias(name) for name, fn in fields.items()]).alias(c) for c in columns
-    ])
-    rows = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("reading_type"), *[F.col(f"{c}.{name}").alias(name) for name in fields])
-        for c in columns
-    ]))).filter("count > 0")
+    """Per column: count, mean, deviation, extremes, population skewness and excess kurtosis, cv.
+
+    One pass over the long view: a grouped aggregate of few buffers stays in compiled code,
+    and every task sends one row per column on.
+    """
+    long = long_readings(df, [], columns)
+    rows = long.groupBy("reading_type").agg(
+        F.count("value").alias("count"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.skewness("value").alias("skewness"),
+        F.kurtosis("value").alias("kurtosis"),
+    )
     return rows.withColumn(
         "cv", F.when(F.col("mean") != 0, F.col("std") / F.col("mean")).otherwise(F.lit(0.0))
     )

@@ -75,6 +75,16 @@ class Entities:
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def _read_spread(self, name: str) -> DataFrame:
+        """A table that at least every core has a part of.
+
+        A file of few row groups would leave most cores idle for all that follows; tables of
+        normal size have more splits than there are cores and are not touched.
+        """
+        df = self._read(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     @cached_property
     def device_bytes(self) -> int:
         """Measured once per folder; decides whether lookups may broadcast the devices."""
@@ -123,7 +133,7 @@ class Entities:
 
     @cached_property
     def telemetry(self) -> DataFrame:
-        events = self._read("events").select(
+        events = self._read_spread("events").select(
             F.col("event_id").alias("e"), F.col("ts").cast("timestamp").alias("ts"), "user_id", "value",
             F.explode(F.sequence(F.lit(0), F.lit(READINGS_PER_EVENT - 1))).alias("r"),
         )
