@@ -367,11 +367,11 @@ EXPLORE = {
         "SELECT facility, count(*) AS failures FROM failures f JOIN device_master d ON f.device_id = d.device_id GROUP BY 1"
     ),
     "maintenance_totals": sql(
-        """SELECT count(*) AS records, count(DISTINCT device_id) AS devices, round(avg(cost), 6) AS avg_cost,
+        """SELECT count(*) AS records, count(DISTINCT device_id) AS devices, round(avg(cost), 8) AS avg_cost,
                   round(sum(cost), 4) AS total_cost FROM maintenance"""
     ),
     "cost_by_type": sql(
-        """SELECT maintenance_type, round(avg(cost), 6) AS avg_cost, round(sum(cost), 4) AS total_cost, count(cost) AS records
+        """SELECT maintenance_type, round(avg(cost), 8) AS avg_cost, round(sum(cost), 4) AS total_cost, count(cost) AS records
            FROM maintenance GROUP BY 1"""
     ),
     "schedule_adherence": sql(
@@ -384,7 +384,7 @@ EXPLORE = {
                   CAST(device_age_days AS BIGINT) AS device_age_days, CAST(days_since_maintenance AS BIGINT) AS days_since_maintenance,
                   avg_reading, reading_std, CAST(reading_count AS BIGINT) AS reading_count, poor_quality_ratio,
                   failure_count, high_severity_count, unresolved_count, round(total_maintenance_cost, 4) AS total_maintenance_cost,
-                  maintenance_count, round(avg_maintenance_cost, 6) AS avg_maintenance_cost,
+                  maintenance_count, round(avg_maintenance_cost, 8) AS avg_maintenance_cost,
                   round(total_maintenance_hours, 6) AS total_maintenance_hours,
                   device_type_encoded, facility_encoded, manufacturer_encoded, status_encoded FROM summary"""
     ),

@@ -367,8 +367,9 @@ def _(e):
 
 
 def _money(df: DataFrame) -> DataFrame:
-    digits = {"total_cost": 4, "avg_cost": 6, "total_maintenance_cost": 4, "avg_maintenance_cost": 6,
-              "total_maintenance_hours": 6}
+    # Large sums have no meaningful eighth decimal; averages keep all eight, as they may end in
+    # a half at fewer.
+    digits = {"total_cost": 4, "total_maintenance_cost": 4, "total_maintenance_hours": 6}
     return df.withColumns({c: F.round(c, d) for c, d in digits.items() if c in df.columns})
 
 
