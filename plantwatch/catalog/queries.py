@@ -565,12 +565,12 @@ def _(e):
 
 @query("stratified_split")
 def _(e):
-    return split.stratified_split(_training(e), prep.LABEL).select(*ROW_KEY, prep.LABEL, "is_test")
+    return split.stratified_split(_stored_training(e), prep.LABEL).select(*ROW_KEY, prep.LABEL, "is_test")
 
 
 @query("class_weights")
 def _(e):
-    rows = split.stratified_split(_training(e), prep.LABEL).filter("is_test = 0")
+    rows = split.stratified_split(_stored_training(e), prep.LABEL).filter("is_test = 0")
     return split.class_weights(rows, prep.LABEL)
 
 

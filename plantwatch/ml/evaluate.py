@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plantwatch.functions.statfns import safe_ratio
 from plantwatch.operators.ranks import exclusive_running_sum
+from plantwatch.session import materialise
 
 
 def _count(condition: Column) -> Column:
@@ -81,11 +82,12 @@ def classification_report(df: DataFrame, label: str = "will_fail", prediction: s
 def roc_auc(df: DataFrame, label: str = "will_fail", score: str = "score") -> DataFrame:
     """Area under the ROC curve as the rank statistic, ties counting half (one row).
 
-    Rows shrink to one per distinct score before anything is ordered.
+    Rows shrink to one per distinct score before anything is ordered; that table is stored, as
+    bucket limits, bucket totals and running sums each read it.
     """
-    counts = df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    counts = materialise(df.groupBy(F.col(score).cast("double").alias("score")).agg(
         _count(F.col(label) == 1).alias("pos"), _count(F.col(label) == 0).alias("neg")
-    )
+    ), "scores")
     ranked = exclusive_running_sum(counts, "score", "neg", "neg_below")
     wins = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / F.lit(2.0)))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")

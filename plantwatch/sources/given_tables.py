@@ -164,7 +164,7 @@ class Entities:
 
     @cached_property
     def failures(self) -> DataFrame:
-        events = self._read("events").filter("event_type = 'error'")
+        events = self._read_spread("events").filter("event_type = 'error'")
         e, ts = F.col("event_id"), F.col("ts").cast("timestamp")
         kind = _pick(FAILURE_TYPES, e % 6)
         severity = (
@@ -190,7 +190,7 @@ class Entities:
 
     @cached_property
     def maintenance(self) -> DataFrame:
-        orders = self._read("orders")
+        orders = self._read_spread("orders")
         o, planned = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
         kind = F.when(o % 33 == 0, " Preventive ").otherwise(_pick(MAINTENANCE_TYPES, o % 4))
         minutes = F.when(o % 503 == 0, F.lit(-30)).otherwise((60 + o % 421).cast("int"))

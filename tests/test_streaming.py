@@ -150,3 +150,22 @@ def test_tables(spark, tmp_path):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert fresh_path(spark, "x").startswith(shared_folder(spark)) and shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+class _Bare:
+    """A session without the setting, on a given master."""
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    def __init__(self, master):
+        self.conf = self._Conf()
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})()
+
+
+def test_without_the_setting_only_a_local_master_gets_a_folder():
+    local = _Bare("local[2]")
+    assert shared_folder(local) == shared_folder(local)
+    with pytest.raises(RuntimeError):
+        shared_folder(_Bare("yarn"))
