@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -155,7 +156,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
         at, n = 0, batch.num_rows
         if not n:
             continue
-        sizes = np.cumsum(pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
         while at < n:
             before = sizes[at - 1] if at else 0
             end = max(at + 1, int(np.searchsorted(sizes, before + limit, side="right")))

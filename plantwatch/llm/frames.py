@@ -30,3 +30,19 @@ def ascii_lower(text: Column) -> Column:
 
 def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
+
+
+def carry(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Like ``wrap`` for Python stages: the text goes through them once, as ``_text`` only."""
+    rest = [c for c in docs.columns if c != text_column]
+    return docs.select(
+        F.col(id_column).cast("long").alias("_id"),
+        F.col(text_column).alias("_text"),
+        F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest"),
+    )
+
+
+def restore(df: DataFrame, columns: list[str], text_column: str = "text") -> DataFrame:
+    return df.select(*[
+        (F.col("_text") if c == text_column else F.col("_rest").getField(c)).alias(c) for c in columns
+    ])

@@ -23,6 +23,8 @@ MIN_CHARS = 40
 MIN_DOCS = 5
 BATCHES = 8
 FANOUT = 4
+# Parts into which the lines of one key are split where they meet the verdict on it.
+SALTS = 16
 
 
 def line_key(line: Column) -> Column:
@@ -116,8 +118,11 @@ def dedup_lines(
     for batch in range(batches):
         runs.add(stored.where(F.col("batch") == batch).drop("batch"))
     repeated = runs.merged().where(F.col("n_docs") >= min_docs).select("key", "holder")
+    # A line may be in a third of all documents: its rows are split, its one verdict is repeated.
+    split = repeated.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
     dropped = (
-        stored.join(repeated, "key").where(F.col("doc_id") != F.col("holder"))
+        stored.withColumn("salt", F.pmod(F.xxhash64("doc_id", "batch"), F.lit(SALTS)).cast("int"))
+        .join(split, ["key", "salt"]).where(F.col("doc_id") != F.col("holder"))
         .groupBy("doc_id").agg(F.collect_set("key").alias("_gone"))
         .withColumnRenamed("doc_id", "_gone_id")
     )

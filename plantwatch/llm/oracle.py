@@ -22,5 +22,33 @@ FROM judged GROUP BY doc_id
 """
 
 
+LEAKS = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[i : i + m - 1], ' ') AS win
+  FROM (SELECT item_id, w, least(10, len(w)) AS m, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS i
+        FROM item_words WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT m FROM windows),
+positions AS (
+  SELECT doc_id, m, i, array_to_string(w[i : i + m - 1], ' ') AS win
+  FROM (SELECT doc_id, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM words, lengths WHERE len(w) >= m)),
+met AS (SELECT a.doc_id, a.m, a.i, x.item_id FROM positions a JOIN windows x ON a.m = x.m AND a.win = x.win),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + m - 1)) AS p FROM (SELECT DISTINCT doc_id, m, i FROM met)) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
+       sha256(coalesce(n.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hit h ON w.doc_id = h.doc_id LEFT JOIN named n ON w.doc_id = n.doc_id
+"""
+
+
 def llm_oracle() -> dict[str, str]:
-    return {"op8_line_runs": LINES}
+    return {"op3_wu_manber": LEAKS, "op8_line_runs": LINES}

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from plantwatch.llm.byte_cnn import HELD_OUT, identify, learn
 from plantwatch.llm.frames import sha256
 from plantwatch.llm.line_runs import dedup_lines
+from plantwatch.llm.packing import pack
 from plantwatch.llm.reputation import judge_urls
 from plantwatch.llm.warc import resolve
+from plantwatch.llm.wu_manber import find_benchmark
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +26,28 @@ def op1_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return resolve(_table(spark, folder, "pages"))
 
 
+def op3_wu_manber(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = find_benchmark(docs, _table(spark, folder, "benchmark").select("item_id", "text"))
+    return found.select(
+        F.col("_id").alias("doc_id"),
+        F.col("_words").alias("n_words"),
+        F.size("_hits").cast("long").alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        sha256(F.array_join(F.array_sort("_items"), ",")).alias("items_sha256"),
+        (F.size("_hits") > 0).alias("contaminated"),
+    )
+
+
+def op4_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    remainder = F.pmod(F.crc32(F.coalesce(F.col("_id").cast("string"), F.lit("")).cast("binary")), F.lit(4))
+    return identify(docs.select("doc_id", "text"), learn(docs)).select(
+        F.col("_id").alias("doc_id"), (remainder == HELD_OUT).alias("held_out"),
+        F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"),
+    )
+
+
 def op7_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     labels = _table(spark, folder, "labels")
     bad = ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int")
@@ -36,9 +62,17 @@ def op8_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_warc_revisits": op1_warc_revisits,
+        "op3_wu_manber": op3_wu_manber,
+        "op4_byte_cnn": op4_byte_cnn,
         "op7_host_reputation": op7_host_reputation,
         "op8_line_runs": op8_line_runs,
+        "op9_cutting_stock": op9_cutting_stock,
     }
