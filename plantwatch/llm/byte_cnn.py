@@ -30,7 +30,7 @@ EPOCHS = 8
 BATCH = 64
 RATE = 0.004
 UNKNOWN = "und"
-MIN_SCORE = 0.4
+MIN_SCORE = 0.3
 HELD_OUT = 2  # the remainder modulo 4 of crc32(doc_id) that is never learned from
 _LETTER = regex.compile(r"\p{L}")
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from plantwatch.llm.byte_cnn import HELD_OUT, identify, learn
 from plantwatch.llm.frames import sha256
 from plantwatch.llm.line_runs import dedup_lines
+from plantwatch.llm.merkle import fingerprint_edits
 from plantwatch.llm.packing import pack
 from plantwatch.llm.reputation import judge_urls
 from plantwatch.llm.warc import resolve
@@ -48,6 +49,10 @@ def op4_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_edits(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op7_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     labels = _table(spark, folder, "labels")
     bad = ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int")
@@ -72,6 +77,7 @@ def llm_queries() -> dict[str, Query]:
         "op1_warc_revisits": op1_warc_revisits,
         "op3_wu_manber": op3_wu_manber,
         "op4_byte_cnn": op4_byte_cnn,
+        "op6_merkle": op6_merkle,
         "op7_host_reputation": op7_host_reputation,
         "op8_line_runs": op8_line_runs,
         "op9_cutting_stock": op9_cutting_stock,
