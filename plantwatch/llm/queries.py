@@ -11,6 +11,7 @@ from plantwatch.llm.byte_cnn import HELD_OUT, identify, learn
 from plantwatch.llm.frames import sha256
 from plantwatch.llm.line_runs import dedup_lines
 from plantwatch.llm.merkle import fingerprint_edits
+from plantwatch.llm.ngram_join import near_duplicates
 from plantwatch.llm.packing import pack
 from plantwatch.llm.reputation import judge_urls
 from plantwatch.llm.warc import resolve
@@ -72,6 +73,10 @@ def op9_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_warc_revisits": op1_warc_revisits,
@@ -81,4 +86,5 @@ def llm_queries() -> dict[str, Query]:
         "op7_host_reputation": op7_host_reputation,
         "op8_line_runs": op8_line_runs,
         "op9_cutting_stock": op9_cutting_stock,
+        "op10_ngram_join": op10_ngram_join,
     }
