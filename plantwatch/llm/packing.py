@@ -29,8 +29,8 @@ CAPACITY = 2048
 GRID = 8
 END_ID = 1
 # Words that a worker remembers; beyond, its table is filled anew.
-CACHE_WORDS = 1_500_000
-CHUNK_ROWS = 50_000
+CACHE_WORDS = 1_000_000
+CHUNK_ROWS = 4000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 # The parts the tokenizer splits a normalized word into, and one space.
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}| |[^\s\p{L}\p{N}]+")
@@ -144,7 +144,7 @@ class WordIds:
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     known = WordIds(path)
     end = np.array([end_id], "<u4")
-    for batch in slices(batches, "_text", 8 << 20):
+    for batch in slices(batches, "_text"):
         ids, begins = known.of(*text_bytes(batch.column("_text")))
         rows: list[tuple] = []
         begins = begins.tolist()

@@ -14,6 +14,7 @@ from plantwatch.llm.merkle import fingerprint_edits
 from plantwatch.llm.ngram_join import near_duplicates
 from plantwatch.llm.packing import pack
 from plantwatch.llm.reputation import judge_urls
+from plantwatch.llm.substrings import dedup_substrings
 from plantwatch.llm.warc import resolve
 from plantwatch.llm.wu_manber import find_benchmark
 
@@ -28,6 +29,11 @@ def op1_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return resolve(_table(spark, folder, "pages"))
 
 
+def op2_suffix_automata(spark: SparkSession, folder: str) -> DataFrame:
+    done = dedup_substrings(_table(spark, folder, "documents").select("doc_id", "text"), texts=False)
+    return done.select(F.col("_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op3_wu_manber(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = find_benchmark(docs, _table(spark, folder, "benchmark").select("item_id", "text"))
@@ -80,6 +86,7 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_warc_revisits": op1_warc_revisits,
+        "op2_suffix_automata": op2_suffix_automata,
         "op3_wu_manber": op3_wu_manber,
         "op4_byte_cnn": op4_byte_cnn,
         "op6_merkle": op6_merkle,
