@@ -14,6 +14,7 @@ from plantwatch.llm.merkle import fingerprint_edits
 from plantwatch.llm.ngram_join import near_duplicates
 from plantwatch.llm.packing import pack
 from plantwatch.llm.reputation import judge_urls
+from plantwatch.llm.secret_crf import learn as learn_secrets, scan
 from plantwatch.llm.substrings import dedup_substrings
 from plantwatch.llm.warc import resolve
 from plantwatch.llm.wu_manber import find_benchmark
@@ -56,6 +57,11 @@ def op4_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_secret_crf(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return scan(docs, learn_secrets(docs))
+
+
 def op6_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_edits(_table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -89,6 +95,7 @@ def llm_queries() -> dict[str, Query]:
         "op2_suffix_automata": op2_suffix_automata,
         "op3_wu_manber": op3_wu_manber,
         "op4_byte_cnn": op4_byte_cnn,
+        "op5_secret_crf": op5_secret_crf,
         "op6_merkle": op6_merkle,
         "op7_host_reputation": op7_host_reputation,
         "op8_line_runs": op8_line_runs,
