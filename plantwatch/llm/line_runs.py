@@ -142,9 +142,15 @@ def dedup_lines(
     )
 
 
-def without_repeated_lines(docs: DataFrame, **options) -> DataFrame:
-    """The documents with what is left of their texts (a null text stays null)."""
+def without_repeated_lines(docs: DataFrame, length_column: str = "n_chars", **options) -> DataFrame:
+    """The documents with what is left of their texts (a null text stays null).
+
+    A column that holds the text's length follows the text.
+    """
     done = dedup_lines(docs, **options)
     text = options.get("text_column", "text")
     kept = F.when(F.col("_row").getField(text).isNotNull(), F.col("_kept"))
-    return unwrap(done, docs.columns, **{text: kept})
+    new = {text: kept}
+    if length_column in docs.columns:
+        new[length_column] = F.length(kept).cast(docs.schema[length_column].dataType)
+    return unwrap(done, docs.columns, **new)

@@ -38,7 +38,7 @@ WINDOW = 24
 # The bound of the training sample: windows around base spans, and windows of any text.
 SPAN_WINDOWS = 4000
 OTHER_WINDOWS = 4000
-EPOCHS = 6
+EPOCHS = 12
 RATE = 0.02
 
 TOKEN = np.zeros(256, bool)
