@@ -36,6 +36,7 @@ telemetry AS (
   SELECT CASE WHEN e % 2003 = 0 THEN '' WHEN e % 1009 = 0 THEN 'DEV_UNKNOWN'
               ELSE 'DEV_' || lpad(CAST(user_id AS VARCHAR), 6, '0') END AS device_id,
          CASE WHEN e % 500 = 0 THEN NULL ELSE ts + to_minutes(5 * r) END AS "timestamp",
+         e, ts + to_minutes(5 * r) AS spoken,
          CASE WHEN (e + r) % 20 = 0 THEN NULL WHEN e % 997 = 0 THEN 200.0::DOUBLE
               ELSE 45.0::DOUBLE + least(value, 45.0::DOUBLE) + r % 3 END AS temperature,
          CAST(500 + e * 37 % 1000 + r AS DOUBLE) AS pressure,
@@ -310,7 +311,7 @@ ml_derived AS (
 split AS (
   SELECT *, CAST(rank() OVER (PARTITION BY will_fail ORDER BY hash) <=
                  round(0.2::DOUBLE * count(*) OVER (PARTITION BY will_fail)) AS INTEGER) AS is_test
-  FROM (SELECT *, md5(concat_ws('|', '42', device_id, CAST(epoch_us(hour_bucket) AS VARCHAR), failure_type, severity)) AS hash
+  FROM (SELECT *, md5(concat_ws('|', '42', coalesce(device_id, '~'), coalesce(CAST(epoch_us(hour_bucket) AS VARCHAR), '~'), coalesce(failure_type, '~'), coalesce(severity, '~'))) AS hash
         FROM training_rows)
 ),
 scored AS (

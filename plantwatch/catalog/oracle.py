@@ -86,9 +86,10 @@ TABLES = {
     "device_health_dashboard": _select(
         """(SELECT *, CASE WHEN health_score = 1 THEN 'Healthy'
                            WHEN high_temperature = 1 OR high_vibration = 1 THEN 'Warning'
-                           WHEN needs_maintenance_soon = 1 THEN 'Maintenance Due' ELSE 'Unknown' END AS status
+                           WHEN needs_maintenance_soon = 1 THEN 'Maintenance Due' ELSE 'Unknown' END AS status,
+                    TIMESTAMP '2024-02-01 00:00:00' AS last_updated
             FROM hourly)""",
-        "device_id device_type location hour_bucket status",
+        "device_id device_type location hour_bucket status last_updated",
         "days_since_maintenance reading_count",
         "health_score avg_temperature avg_vibration avg_pressure",
     ),
@@ -531,24 +532,30 @@ LEARNING = {
     ),
     "classification_report": sql(_PER_CLASS + "\n" + _REPORT),
     "roc_auc": sql(
-        """SELECT round((sum(rk) FILTER (WHERE will_fail = 1) - np * (np + 1) / 2) / (np * nn), 8) AS roc_auc
+        """SELECT round((sum(rk) FILTER (WHERE will_fail = 1) - np * (np + 1) / 2) / (np * nn), 8) AS roc_auc, CAST(0 AS BIGINT) AS unscored
            FROM (SELECT will_fail, rank() OVER (ORDER BY risk) + (count(*) OVER (PARTITION BY risk) - 1) / 2 AS rk FROM scored),
                 (SELECT CAST(count(*) FILTER (WHERE will_fail = 1) AS DOUBLE) AS np, CAST(count(*) FILTER (WHERE will_fail = 0) AS DOUBLE) AS nn FROM scored)
            GROUP BY np, nn"""
     ),
     "roc_auc_temperature": sql(
-        """SELECT round((sum(rk) FILTER (WHERE will_fail = 1) - np * (np + 1) / 2) / (np * nn), 8) AS roc_auc
+        """SELECT round((sum(rk) FILTER (WHERE will_fail = 1) - np * (np + 1) / 2) / (np * nn), 8) AS roc_auc, CAST(0 AS BIGINT) AS unscored
            FROM (SELECT will_fail, rank() OVER (ORDER BY t) + (count(*) OVER (PARTITION BY t) - 1) / 2 AS rk
                  FROM (SELECT will_fail, round(avg_temperature, 6) AS t FROM training_rows WHERE avg_temperature IS NOT NULL)),
                 (SELECT CAST(count(*) FILTER (WHERE will_fail = 1) AS DOUBLE) AS np, CAST(count(*) FILTER (WHERE will_fail = 0) AS DOUBLE) AS nn
                  FROM training_rows WHERE avg_temperature IS NOT NULL)
            GROUP BY np, nn"""
     ),
+    "roc_auc_gaps": sql(
+        """SELECT round((sum(rk) FILTER (WHERE will_fail = 1) - np * (np + 1) / 2) / (np * nn), 8) AS roc_auc, missing AS unscored
+           FROM (SELECT will_fail, rank() OVER (ORDER BY t) + (count(*) OVER (PARTITION BY t) - 1) / 2 AS rk
+                 FROM (SELECT will_fail, round(avg_temperature, 6) AS t FROM training_rows WHERE avg_temperature IS NOT NULL AND reading_count % 7 <> 0)),
+                (SELECT CAST(count(*) FILTER (WHERE will_fail = 1) AS DOUBLE) AS np, CAST(count(*) FILTER (WHERE will_fail = 0) AS DOUBLE) AS nn
+                 FROM training_rows WHERE avg_temperature IS NOT NULL AND reading_count % 7 <> 0),
+                (SELECT count(*) AS missing FROM training_rows WHERE avg_temperature IS NULL OR reading_count % 7 = 0)
+           GROUP BY np, nn, missing"""
+    ),
 }
 
-_CLOSED = """(SELECT * FROM hourly WHERE hour_bucket IS NOT NULL
-  AND hour_bucket + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM telemetry_clean) - INTERVAL 1 HOUR)"""
-
 STREAMS = {
     "bronze_device_master": _select(
         """(SELECT device_id, device_type, location, facility, strftime(installation_date, '%Y-%m-%dT%H:%M:%S.%f') || '.000000' AS installation_date,
@@ -560,7 +567,8 @@ STREAMS = {
     ),
     "bronze_telemetry": _select(
         """(SELECT device_id, temperature, pressure, vibration, humidity, power_consumption, flow_rate, valve_position, motor_speed,
-                   strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') || '.000000' AS "timestamp",
+                   CASE WHEN e % 500 = 0 THEN strftime(spoken, '%Y-%m-%dT%H:%M:%S')
+                        ELSE strftime(spoken, '%Y-%m-%dT%H:%M:%S.%f') || '.000000' END AS "timestamp",
                    'STALE' AS location, 'STALE' AS facility, 1 AS has_lineage FROM telemetry)""",
         "device_id timestamp location facility", "has_lineage", _SENSORS,
     ),
@@ -582,19 +590,16 @@ STREAMS = {
     "stream_device_master_clean": TABLES["device_master_clean"],
     "stream_maintenance_analytics": TABLES["maintenance_analytics"],
     "stream_failure_labels": TABLES["failure_labels"],
-    "stream_hourly_features": _select(
-        _CLOSED,
-        "device_id hour_bucket device_type location",
-        "reading_count high_temperature high_vibration needs_maintenance_soon days_since_maintenance",
-        _HOURLY_NUMS,
-    ),
-    "stream_ml_features": _select(
-        """(SELECT * FROM ml_table m WHERE hour_bucket IS NOT NULL AND (will_fail = 1 OR hour_bucket <=
-              least((SELECT max(hour_bucket) FROM hourly), (SELECT max(prediction_hour) FROM labels_hourly)) - INTERVAL 192 HOUR))""",
-        _ML_PLAIN, _ML_INTS, _ML_NUMS,
-    ),
+    "stream_hourly_features": TABLES["device_features_hourly"],
+    "stream_ml_features": TABLES["predictive_maintenance_features"],
+}
+
+
+SAME = {
+    "telemetry_clean_shuffled": TABLES["telemetry_clean"],
+    "telemetry_clean_latest": TABLES["telemetry_clean"],
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**TABLES, **CHECKS, **EXPLORE, **LEARNING, **STREAMS}
+    return {**SAME, **TABLES, **CHECKS, **EXPLORE, **LEARNING, **STREAMS}

@@ -12,7 +12,7 @@ from plantwatch.ml import evaluate, features as prep, split, train as learn
 from plantwatch.ml.score import score, score_new, scoring_input
 from plantwatch.operators import coherence, profile
 from plantwatch.operators.correlate import correlation_pairs, strong_pairs
-from plantwatch.operators.lookup import orphan_keys
+from plantwatch.operators.lookup import BROADCAST_BYTES, latest_snapshot, orphan_keys
 from plantwatch.operators.rules import (
     DEVICE_RULES, FAILURE_RULES, MAINTENANCE_RULES, TELEMETRY_RULES, expect_all,
 )
@@ -53,14 +53,9 @@ def plain_queries() -> dict[str, Query]:
     }
 
 
-@lru_cache(maxsize=8)
-def _entities(application: str, folder: str) -> Entities:
-    return Entities(SparkSession.active(), folder)
-
-
 def entities(spark: SparkSession, folder: str) -> Entities:
-    """The entities of a folder; frames are lazy, only the measured device size is remembered."""
-    return _entities(spark.sparkContext.applicationId, folder)
+    """The entities of a folder; frames are lazy and the device size is measured anew each time."""
+    return Entities(spark, folder)
 
 
 def comparable(df: DataFrame, digits: int = 8) -> DataFrame:
@@ -116,6 +111,23 @@ def _(e):
     return _clean(e).drop("ingestion_time")
 
 
+@query("telemetry_clean_shuffled")
+def _(e):
+    """Devices too many to broadcast: the same rows by a shuffle."""
+    return silver.telemetry_clean(e.telemetry, e.device_master, dim_bytes=BROADCAST_BYTES + 1).drop("ingestion_time")
+
+
+@query("telemetry_clean_latest")
+def _(e):
+    """Snapshots of the device master pile up; the latest of each device counts."""
+    old = e.device_master.withColumns({
+        "ingestion_time": F.col("ingestion_time") - F.expr("INTERVAL 1 DAY"),
+        "status": F.lit("failed"), "location": F.lit("elsewhere"),
+    })
+    devices = latest_snapshot(old.unionByName(e.device_master))
+    return silver.telemetry_clean(e.telemetry, devices, e.device_bytes).drop("ingestion_time")
+
+
 @query("device_master_clean")
 def _(e):
     return _devices_clean(e).drop("ingestion_time")
@@ -158,7 +170,7 @@ def _(e):
 
 @query("device_health_dashboard")
 def _(e):
-    return gold.health_dashboard(_hourly(e)).drop("last_updated")
+    return gold.health_dashboard(_hourly(e), as_of=_now())
 
 
 @query("maintenance_analytics")
@@ -620,12 +632,19 @@ def _(e):
     return evaluate.roc_auc(rows.withColumn("score", F.round("avg_temperature", 6)))
 
 
+@query("roc_auc_gaps")
+def _(e):
+    """Scores with gaps: missing and NaN ones have no rank."""
+    gap = F.when(F.col("reading_count") % 7 == 0, F.lit(float("nan")))
+    return evaluate.roc_auc(_training(e).withColumn("score", F.coalesce(gap, F.round("avg_temperature", 6))))
+
+
 QUICK = learn.BoostParams(trees=20)
 
 
 @lru_cache(maxsize=2)
-def _trained(application: str, folder: str) -> tuple[learn.Trained, str]:
-    """One small model per folder, saved; shared by the queries that look at it."""
+def _trained(application: str, folder: str, rows: tuple[int, ...]) -> tuple[learn.Trained, str]:
+    """One small model per folder and its row counts, saved; shared by the queries that look at it."""
     spark = SparkSession.active()
     trained = learn.train(_stored_training(entities(spark, folder)), QUICK)
     path = fresh_path(spark, "model")
@@ -634,7 +653,8 @@ def _trained(application: str, folder: str) -> tuple[learn.Trained, str]:
 
 
 def _model(e: Entities) -> tuple[learn.Trained, str]:
-    return _trained(e.spark.sparkContext.applicationId, e.folder)
+    rows = tuple(e._read(name).count() for name in ("customer", "events", "orders"))
+    return _trained(e.spark.sparkContext.applicationId, e.folder, rows)
 
 
 @query("gbt_metrics")
@@ -669,9 +689,6 @@ def _(e):
 
 # ---- landing files and streams ------------------------------------------------------------
 
-STATE_PARTITIONS = 8
-
-
 def _landing(e: Entities, entity: str) -> str:
     return land(e.raw()[entity], fresh_path(e.spark, f"landing-{entity}"), entity)
 
@@ -681,7 +698,7 @@ def _arriving(e: Entities, entity: str, **options) -> DataFrame:
 
 
 def _run(df: DataFrame, label: str) -> DataFrame:
-    return jobs.run_available_now(df, label=label, state_partitions=STATE_PARTITIONS)[0]
+    return jobs.run_available_now(df, label=label)[0]
 
 
 def _bronze(e: Entities, entity: str) -> DataFrame:
@@ -696,9 +713,7 @@ for _entity in ("device_master", "maintenance", "failures"):
 
 @query("bronze_telemetry")
 def _(e):
-    # Texts that carry no fraction cannot be written by the comparison side; show them as gaps.
-    raw = _bronze(e, "telemetry")
-    return raw.withColumn("timestamp", F.when(F.col("timestamp").contains("."), F.col("timestamp")))
+    return _bronze(e, "telemetry")
 
 
 @query("stream_telemetry_clean")
@@ -727,7 +742,8 @@ def _(e):
 @query("stream_hourly_features")
 def _(e):
     clean = silver.telemetry_clean(_arriving(e, "telemetry"), e.device_master)
-    return _run(jobs.hourly_features_stream(silver.device_health_metrics(clean)), "hourly")
+    written = _run(jobs.hourly_features_stream(silver.device_health_metrics(clean)), "hourly")
+    return jobs.with_open_rows(written, _hourly(e), ["device_id", "hour_bucket", "device_type", "location"])
 
 
 @query("stream_ml_features")
@@ -741,4 +757,5 @@ def _(e):
 
     hourly = follow(_hourly(e).filter("hour_bucket IS NOT NULL"), "hourly-table")
     labels = follow(_labels(e), "label-table")
-    return _run(jobs.ml_features_stream(hourly, labels), "ml-features")
+    written = _run(jobs.ml_features_stream(hourly, labels), "ml-features")
+    return jobs.with_open_rows(written, _ml_table(e), list(ROW_KEY))

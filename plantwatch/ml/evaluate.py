@@ -83,12 +83,18 @@ def roc_auc(df: DataFrame, label: str = "will_fail", score: str = "score") -> Da
     """Area under the ROC curve as the rank statistic, ties counting half (one row).
 
     Rows shrink to one per distinct score before anything is ordered; that table is stored, as
-    bucket limits, bucket totals and running sums each read it.
+    bucket limits, bucket totals and running sums each read it. Rows whose score or label is
+    missing or NaN have no rank: they are left out and counted in ``unscored``.
     """
-    counts = materialise(df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    known = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull()
+    usable = F.coalesce(known, F.lit(False))
+    unscored = df.where(~usable).count()
+    counts = materialise(df.where(usable).groupBy(F.col(score).cast("double").alias("score")).agg(
         _count(F.col(label) == 1).alias("pos"), _count(F.col(label) == 0).alias("neg")
     ), "scores")
     ranked = exclusive_running_sum(counts, "score", "neg", "neg_below")
     wins = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / F.lit(2.0)))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return ranked.agg((wins / F.when(pairs != 0, pairs)).alias("roc_auc"))
+    return ranked.agg(
+        (wins / F.when(pairs != 0, pairs)).alias("roc_auc"), F.lit(unscored).cast("long").alias("unscored")
+    )

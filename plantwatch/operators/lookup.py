@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
 
 def frame_bytes(df: DataFrame) -> int:
@@ -26,15 +25,13 @@ def lookup_join(
     how: str = "inner",
     dim_bytes: int | None = None,
     limit_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``facts`` to ``dim`` on ``key`` (``how``: inner or left).
 
     A dimension measured to fit ``limit_bytes`` is broadcast: no shuffle, so a hot key costs
-    nothing. A larger one is repeated once per salt and joined on ``(key, salt)``: the rows of
-    a hot key spread over ``salts`` tasks. The salt mixes row content with the input partition,
-    so neither one device nor one group of identical rows lands in a single task; both parts
-    are stable when a lost task runs again. On a stream Spark plans every micro-batch anew and
+    nothing. A larger one is joined by a shuffle of both sides whose large partitions adaptive
+    execution splits at run time, repeating only the few dimension rows they meet; see
+    ``RECOMMENDED`` in the session settings. On a stream Spark plans every micro-batch anew and
     picks the strategy from the current file sizes.
     """
     if how not in ("inner", "left"):
@@ -44,9 +41,7 @@ def lookup_join(
     size = frame_bytes(dim) if dim_bytes is None else dim_bytes
     if size <= limit_bytes:
         return facts.join(F.broadcast(dim), key, how)
-    spread = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.withColumn("_salt", spread).join(copies, [key, "_salt"], how).drop("_salt")
+    return facts.join(dim.hint("merge"), key, how)
 
 
 def latest_snapshot(df: DataFrame, key: str = "device_id", order: str = "ingestion_time") -> DataFrame:

@@ -1,10 +1,12 @@
 """Exact quantiles of many columns without sorting or shuffling the table.
 
-A sketch pass brackets every wanted order statistic between two values; a counting pass
-says how many rows lie below and inside each bracket; only the few values inside are then
-grouped and ranked. Each bracket holds about ``6 * RELATIVE_ERROR`` of the rows and is
-narrowed again while it holds more than ``BRACKET_ROWS``, so the last, ranked step stays
-small at any table size. The sketch only steers the work: the counts decide the result.
+Every wanted order statistic lies in a scope, at first the column's extremes, of which the rows
+below and inside are known exactly. A round sketches two cuts around the wanted rank within each
+scope and then counts, for all scopes in one pass each, the rows below, at, between, and above
+the cuts; the part that holds the rank is the next scope. Cuts are values of the scope, so every
+part is smaller than the scope whatever the sketch says, and a part of one value is an answer.
+Rounds end when all scopes hold at most ``BRACKET_ROWS`` rows, whose distinct values are then
+ranked. A good sketch leaves about 1/1000 of the rows per round.
 """
 
 from __future__ import annotations
@@ -12,20 +14,27 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-RELATIVE_ERROR = 1e-3
+ACCURACY = 10_000
 BRACKET_ROWS = 1_000_000
-MAX_ROUNDS = 8
-SMALL_DOMAIN = 10_000
 
 
-@dataclass
-class _Bracket:
+@dataclass(frozen=True)
+class _Scope:
+    """Values of a column from low to high, without the ends themselves if ``open``."""
+
     column: str
-    ranks: tuple[int, int]  # 0-based order statistics to interpolate between
     low: float
     high: float
+    open: bool
+    below: int
+    rows: int
+
+    @property
+    def condition(self) -> Column:
+        v = F.col(self.column)
+        return (v > self.low) & (v < self.high) if self.open else v.between(self.low, self.high)
 
 
 def _values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -55,142 +64,133 @@ def column_stats(df: DataFrame, columns: list[str]) -> dict[str, ColumnStats]:
     return {c: ColumnStats(*row[c]) for c in columns}
 
 
+def distinct_estimate(column: str):
+    """Sketched number of distinct non-missing values; the sketch is one small object."""
+    hashed = F.when(F.col(column).isNotNull(), F.xxhash64(column))
+    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(hashed, 11)), F.lit(0))
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: list[str],
     probabilities: list[float],
-    small: int = SMALL_DOMAIN,
     stats: dict[str, ColumnStats] | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of the non-missing values of each column.
 
-    Columns with at most ``small`` distinct values take the built-in aggregate, whose memory
-    is one counter per distinct value. The result is a handful of numbers per column; its size
-    does not depend on the rows.
+    The result is a handful of numbers per column; its size does not depend on the rows.
     """
     if not columns:
         return {}
     values = _values(df, columns)
     stats = column_stats(df, columns) if stats is None else stats
-    filled = [c for c in columns if stats[c].n]
-    few = [c for c in filled if stats[c].distinct <= small]
-    many = [c for c in filled if c not in few]
+    positions = {c: [p * (stats[c].n - 1) for p in probabilities] for c in columns if stats[c].n}
+    wanted = {(c, r) for c, ps in positions.items() for p in ps for r in (math.floor(p), math.ceil(p))}
+    found = _order_statistics(values, wanted, stats)
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
-    if few:
-        wanted = F.array(*map(F.lit, probabilities))
-        row = values.agg(*[F.percentile(c, wanted).alias(c) for c in few]).first()
-        result.update({c: list(row[c]) for c in few})
-    if many:
-        result.update(_bracketed(values, many, probabilities, stats))
+    for c, ps in positions.items():
+        for i, p in enumerate(ps):
+            low, high = found[c, math.floor(p)], found[c, math.ceil(p)]
+            result[c][i] = low if low == high else low + (high - low) * (p - math.floor(p))
     return result
 
 
-def distinct_estimate(column: str):
-    """Sketched number of distinct non-missing values; the sketch is one small object."""
-    hashed = F.when(F.col(column).isNotNull(), F.xxhash64(column))
-    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(hashed, 11)), F.lit(0))
-
-
-def _bracketed(values, columns, probabilities, stats):
-    margin = [
-        min(1.0, max(0.0, p + side * 2 * RELATIVE_ERROR)) for p in probabilities for side in (-1, 1)
-    ]
-    sketch = dict(zip(columns, values.approxQuantile(columns, margin, RELATIVE_ERROR)))
-    brackets: dict[tuple[str, int], _Bracket] = {}
-    for c in columns:
-        for i, p in enumerate(probabilities):
-            position = p * (stats[c].n - 1)
-            ranks = (math.floor(position), math.ceil(position))
-            brackets[c, i] = _Bracket(c, ranks, sketch[c][2 * i], sketch[c][2 * i + 1])
-    found = _select_ranks(values, brackets, {c: (stats[c].low, stats[c].high) for c in columns})
-    result = {}
-    for c in columns:
-        row = []
-        for i, p in enumerate(probabilities):
-            low, high = found[c, i]
-            position = p * (stats[c].n - 1)
-            part = position - math.floor(position)
-            row.append(low if part == 0 or low == high else low + (high - low) * part)
-        result[c] = row
-    return result
-
-
-def _select_ranks(values, brackets, extremes):
-    """The two order statistics of every bracket."""
-    counts = _count(values, brackets)
-    for _ in range(MAX_ROUNDS):
-        wrong = [k for k, b in brackets.items() if not _covers(b, *counts[k])]
-        wide = [
-            k for k, b in brackets.items()
-            if k not in wrong and b.low < b.high and counts[k][1] > BRACKET_ROWS
-        ]
-        if not wrong and not wide:
-            break
-        changed = {}
-        for k in wrong:  # never trusted: fall back to the whole range, then narrow by counts
-            brackets[k].low, brackets[k].high = extremes[brackets[k].column]
-            changed[k] = brackets[k]
+def _order_statistics(values, wanted, stats) -> dict[tuple[str, int], float]:
+    """The value of each 0-based rank of each column."""
+    scopes: dict[tuple[str, int], _Scope] = {}
+    found: dict[tuple[str, int], float] = {}
+    for c, rank in wanted:
+        s = stats[c]
+        if s.low == s.high:
+            found[c, rank] = s.low
+        else:
+            scopes[c, rank] = _Scope(c, s.low, s.high, False, 0, s.n)
+    while wide := sorted({k for k, s in scopes.items() if s.rows > BRACKET_ROWS}):
+        cuts = _cuts(values, {k: scopes[k] for k in wide})
+        counts = _count(values, {(scopes[k], cuts[k]) for k in wide})
         for k in wide:
-            narrowed = _narrow(values, brackets[k], *counts[k])
-            if narrowed:
-                brackets[k] = changed[k] = narrowed
-        if not changed:
-            break  # the brackets are heavy with copies, which collapse below
-        counts.update(_count(values, changed))
-    return _rank(values, brackets, counts)
-
-
-def _covers(b: _Bracket, below: int, inside: int) -> bool:
-    return below <= b.ranks[0] and b.ranks[1] < below + inside
-
-
-def _count(values, brackets):
+            part = _part(scopes[k], cuts[k], counts[scopes[k], cuts[k]], k[1])
+            if isinstance(part, _Scope):
+                scopes[k] = part
+            else:
+                found[k] = part
+                del scopes[k]
+    found.update(_rank(values, scopes))
+    return found
+
+
+def _cuts(values, scopes) -> dict:
+    """Two sketched values of each scope, just below and above its wanted rank."""
     aggs = []
-    for j, b in enumerate(brackets.values()):
-        v = F.col(b.column)
-        aggs.append(F.count(F.when(v < b.low, 1)).alias(f"below{j}"))
-        aggs.append(F.count(F.when(v.between(b.low, b.high), 1)).alias(f"inside{j}"))
-    if not aggs:
-        return {}
+    for j, ((_, rank), s) in enumerate(scopes.items()):
+        place = (rank - s.below) / s.rows
+        ends = [min(1.0, max(0.0, place + side * 3 / ACCURACY)) for side in (-1, 1)]
+        aggs.append(F.percentile_approx(F.when(s.condition, F.col(s.column)), ends, ACCURACY).alias(f"c{j}"))
     row = values.agg(*aggs).first()
-    return {k: (row[f"below{j}"], row[f"inside{j}"]) for j, k in enumerate(brackets)}
-
+    return {k: tuple(row[f"c{j}"]) for j, k in enumerate(scopes)}
 
-def _narrow(values, b: _Bracket, below: int, inside: int) -> _Bracket | None:
-    start = (b.ranks[0] - below) / max(1, inside - 1)
-    ends = [max(0.0, start - 2 * RELATIVE_ERROR), min(1.0, start + 2 * RELATIVE_ERROR)]
-    scope = values.filter(F.col(b.column).between(b.low, b.high))
-    low, high = scope.approxQuantile(b.column, ends, RELATIVE_ERROR)
-    if (low, high) == (b.low, b.high):
-        return None
-    return _Bracket(b.column, b.ranks, low, high)
 
-
-def _rank(values, brackets, counts):
-    if not brackets:
+def _count(values, pairs) -> dict:
+    """Rows of each scope below the first cut, at it, between, at the second cut."""
+    pairs = list(pairs)
+    aggs = []
+    for j, (s, (a, b)) in enumerate(pairs):
+        v = F.when(s.condition, F.col(s.column))
+        for name, test in (("u", v < a), ("a", v == a), ("m", (v > a) & (v < b)), ("b", v == b)):
+            aggs.append(F.count(F.when(test, 1)).alias(f"{name}{j}"))
+    row = values.agg(*aggs).first()
+    return {pair: tuple(row[f"{name}{j}"] for name in "uamb") for j, pair in enumerate(pairs)}
+
+
+def _part(s: _Scope, cuts, counts, rank: int):
+    """The part of the scope that holds the rank: a smaller scope, or the value itself."""
+    (a, b), (under, at_a, middle, at_b) = cuts, counts
+    if a == b:
+        middle = at_b = 0
+    place = rank - s.below
+    low_open = _Scope(s.column, s.low, a, True, s.below, under)
+    if place < under:
+        # The scope's low end counts as inside unless the scope is open.
+        return low_open if s.open else _half(s, a, under, upper=False)
+    if place < under + at_a:
+        return a
+    if place < under + at_a + middle:
+        return _Scope(s.column, a, b, True, s.below + under + at_a, middle)
+    if place < under + at_a + middle + at_b:
+        return b
+    rest = s.rows - under - at_a - middle - at_b
+    below = s.below + under + at_a + middle + at_b
+    return _Scope(s.column, b, s.high, True, below, rest) if s.open else _half(s, b, rest, upper=True, below=below)
+
+
+def _half(s: _Scope, cut: float, rows: int, upper: bool, below: int = 0) -> _Scope:
+    """A part with one closed end, as an open scope a step beyond that end."""
+    if upper:
+        return _Scope(s.column, cut, math.nextafter(s.high, math.inf), True, below, rows)
+    return _Scope(s.column, math.nextafter(s.low, -math.inf), cut, True, s.below, rows)
+
+
+def _rank(values, scopes) -> dict[tuple[str, int], float]:
+    if not scopes:
         return {}
-    keys = list(brackets)
+    distinct = list(dict.fromkeys(scopes.values()))
+    number = {s: j for j, s in enumerate(distinct)}
     hits = F.array_compact(F.array(*[
-        F.when(
-            F.col(b.column).between(b.low, b.high),
-            F.struct(F.lit(j).alias("bracket"), F.col(b.column).alias("v")),
-        )
-        for j, b in enumerate(brackets.values())
+        F.when(s.condition, F.struct(F.lit(j).alias("scope"), F.col(s.column).alias("v")))
+        for j, s in enumerate(distinct)
     ]))
-    inside = (
-        values.select(F.inline(hits)).groupBy("bracket", "v").agg(F.count(F.lit(1)).alias("copies"))
-    )
-    # Distinct values of one narrowed bracket: bounded by BRACKET_ROWS.
-    running = Window.partitionBy("bracket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = values.select(F.inline(hits)).groupBy("scope", "v").agg(F.count(F.lit(1)).alias("copies"))
+    # Distinct values of one scope: at most BRACKET_ROWS.
+    running = Window.partitionBy("scope").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn("upto", F.sum("copies").over(running))
-    wanted = F.element_at(
-        F.array(*[
-            F.array(*[F.lit(r - counts[k][0]) for r in brackets[k].ranks]) for k in keys
-        ]),
-        F.col("bracket") + 1,
-    )
-    rows = ranked.groupBy("bracket").agg(
-        F.min(F.when(F.col("upto") > wanted[0], F.col("v"))).alias("low"),
-        F.min(F.when(F.col("upto") > wanted[1], F.col("v"))).alias("high"),
-    ).collect()  # one row per bracket
-    return {keys[r["bracket"]]: (r["low"], r["high"]) for r in rows}
+    keys = list(scopes)
+    places: list[list[int]] = [[] for _ in distinct]
+    for k in keys:
+        places[number[scopes[k]]].append(k[1] - scopes[k].below)
+    wanted = F.element_at(F.array(*[F.array(*[F.lit(p) for p in own]) for own in places]), F.col("scope") + 1)
+    first = F.transform(wanted, lambda p: F.when(
+        (F.col("upto") > p) & (F.col("upto") - F.col("copies") <= p), F.struct(p.alias("place"), F.col("v"))
+    ))
+    rows = ranked.select("scope", F.inline(F.array_compact(first))).collect()  # one row per wanted rank
+    answers = {(r["scope"], r["place"]): r["v"] for r in rows}
+    return {k: answers[number[scopes[k]], k[1] - scopes[k].below] for k in keys}

@@ -76,18 +76,17 @@ class Entities:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def _read_spread(self, name: str) -> DataFrame:
-        """A table that at least every core has a part of.
+        """A table of one split dealt out to all cores.
 
-        A file of few row groups would leave most cores idle for all that follows; tables of
-        normal size have more splits than there are cores and are not touched.
+        One split is at most ``spark.sql.files.maxPartitionBytes``, so no more than that is ever
+        moved, on however many cores; larger tables are read as they lie.
         """
         df = self._read(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+        return df.repartition(self.spark.sparkContext.defaultParallelism) if df.rdd.getNumPartitions() == 1 else df
 
     @cached_property
     def device_bytes(self) -> int:
-        """Measured once per folder; decides whether lookups may broadcast the devices."""
+        """Measured for each run; decides whether lookups may broadcast the devices."""
         return frame_bytes(self.device_master)
 
     @cached_property

@@ -7,7 +7,7 @@ watermarks bound.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -47,22 +47,8 @@ def ml_features_stream(
     )
 
 
-@contextmanager
-def _state_partitions(spark: SparkSession, count: int | None):
-    """State is laid out by the shuffle partitions of a query's first run and keeps that layout."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    if count is not None:
-        spark.conf.set(key, str(count))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def start_available_now(
     df: DataFrame, path: str, checkpoint: str, output_mode: str = "append", name: str | None = None,
-    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Process what has arrived, in as many micro-batches as the source makes, then stop."""
     writer = (
@@ -73,23 +59,33 @@ def start_available_now(
     )
     if name:
         writer = writer.queryName(name)
-    with _state_partitions(df.sparkSession, state_partitions):
-        return writer.start(path)
+    return writer.start(path)
 
 
 def run_available_now(
     df: DataFrame, path: str | None = None, checkpoint: str | None = None, label: str = "stream",
-    state_partitions: int | None = None,
 ) -> tuple[DataFrame, StreamingQuery]:
     """Run to the end of the available input; the written table and the finished query."""
     spark = df.sparkSession
     path = path or fresh_path(spark, label)
     checkpoint = checkpoint or fresh_path(spark, f"{label}-checkpoint")
-    query = start_available_now(df, path, checkpoint, state_partitions=state_partitions)
+    query = start_available_now(df, path, checkpoint)
     query.awaitTermination()
     return spark.read.schema(df.schema).parquet(path), query
 
 
+def with_open_rows(written: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """What a finished run has written, completed by the rows that a watermark still held back.
+
+    ``batch`` is the same table computed from what has arrived. Of its rows those are added whose
+    keys (nulls equal) were not written: hours not closed, hours without a time, and waits for a
+    label that were not over. A key is never there twice by both ways.
+    """
+    done = written.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return written.unionByName(batch.join(done, same, "left_anti").select(*written.columns))
+
+
 def run_to_table(df: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Append what has arrived to a managed table."""
     query = (

@@ -19,17 +19,16 @@ from plantwatch.operators.ranks import exclusive_running_sum
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_lookup_equals_broadcast_with_a_hot_key(spark, how):
+def test_shuffled_lookup_equals_broadcast_with_a_hot_key(spark, how):
     facts = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("device_id"),
         (F.col("id") % 7).alias("v"),
     )
     dim = spark.createDataFrame([("hot", "a")] + [(f"k{i}", "b") for i in range(40)], "device_id string, name string")
     broadcast = lookup_join(facts, dim, "device_id", how)
-    salted = lookup_join(facts, dim, "device_id", how, limit_bytes=0, salts=8)
-    assert "_salt" not in salted.columns
-    assert broadcast.exceptAll(salted.select(*broadcast.columns)).count() == 0
-    assert salted.count() == broadcast.count()
+    shuffled = lookup_join(facts, dim, "device_id", how, limit_bytes=0)
+    assert broadcast.exceptAll(shuffled.select(*broadcast.columns)).count() == 0
+    assert shuffled.count() == broadcast.count()
 
 
 def test_size_decides_the_join(spark):
@@ -62,24 +61,52 @@ def _numbers(kind, n=4000):
 
 
 @pytest.mark.parametrize("kind", ["smooth", "heavy", "few", "tiny", "wide"])
-@pytest.mark.parametrize("small", [0, 10_000])
-def test_quantiles_are_exact(spark, kind, small):
+@pytest.mark.parametrize("rows", [3, 40, 1_000_000])
+def test_quantiles_are_exact(spark, monkeypatch, kind, rows):
+    monkeypatch.setattr(quantiles, "BRACKET_ROWS", rows)
     values = _numbers(kind)
     df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
     probabilities = [0.0, 0.25, 0.5, 0.75, 1.0]
-    got = quantiles.exact_quantiles(df, ["v"], probabilities, small=small)["v"]
+    got = quantiles.exact_quantiles(df, ["v"], probabilities)["v"]
     assert np.allclose(got, np.quantile(values, probabilities), rtol=1e-12, atol=0)
 
 
-def test_quantiles_narrow_until_small_and_survive_bad_brackets(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "BRACKET_ROWS", 3)
-    values = _numbers("smooth")
+def _jobs(spark, work) -> int:
+    """Jobs that Spark starts for one piece of work."""
+    tracker, group = spark.sparkContext.statusTracker(), f"jobs-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        work()
+        return len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_all_columns_and_brackets_share_their_passes(spark, monkeypatch):
+    df = spark.range(4000).selectExpr("hash(id) + 0.5 AS a", "hash(id, 1) * 2.0 AS b", "id % 7 AS c", "exp(id / 9) AS d").cache()
+    few = _jobs(spark, lambda: quantiles.exact_quantiles(df, ["a"], [0.5]))
+    monkeypatch.setattr(quantiles, "BRACKET_ROWS", 50)
+    one = _jobs(spark, lambda: quantiles.exact_quantiles(df, ["a"], [0.5]))
+    many = _jobs(spark, lambda: quantiles.exact_quantiles(df, ["a", "b", "c", "d"], [0.25, 0.5, 0.75]))
+    assert few <= 6 and many <= one + 4
+
+
+@pytest.mark.parametrize("cuts", ["lowest", "highest", "wild"])
+def test_bad_sketches_cost_rounds_and_nothing_else(spark, monkeypatch, cuts):
+    values = _numbers("tiny") + _numbers("few")[:60]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = quantiles.exact_quantiles(df, ["v"], [0.1, 0.5], small=0)["v"]
-    assert np.allclose(got, np.quantile(values, [0.1, 0.5]), rtol=1e-12)
-    brackets = {("v", 0): quantiles._Bracket("v", (10, 11), 100.0, 101.0)}  # nowhere near
-    found = quantiles._select_ranks(df, brackets, {"v": (min(values), max(values))})
-    assert found["v", 0] == tuple(sorted(values)[10:12])
+
+    def poor(frame, scopes):
+        out = {}
+        for k, s in scopes.items():
+            inside = sorted(v for v in values if (s.low < v < s.high if s.open else s.low <= v <= s.high))
+            out[k] = {"lowest": (inside[0],) * 2, "highest": (inside[-1],) * 2, "wild": (inside[0], inside[-1])}[cuts]
+        return out
+
+    monkeypatch.setattr(quantiles, "_cuts", poor)
+    monkeypatch.setattr(quantiles, "BRACKET_ROWS", 40)
+    got = quantiles.exact_quantiles(df, ["v"], [0.3, 0.5])["v"]
+    assert np.allclose(got, np.quantile(values, [0.3, 0.5]), rtol=1e-12)
 
 
 def test_quantiles_of_nothing(spark):
