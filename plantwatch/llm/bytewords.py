@@ -150,7 +150,7 @@ def covered(n: int, starts: np.ndarray, lengths: np.ndarray | int) -> np.ndarray
     return np.cumsum(change[:-1]) > 0
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of one hold about ``limit`` bytes (one text may hold more)."""
     for batch in batches:
         at, n = 0, batch.num_rows

@@ -29,7 +29,7 @@ CAPACITY = 2048
 GRID = 8
 END_ID = 1
 # Words that a worker remembers; beyond, its table is filled anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 CHUNK_ROWS = 4000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 # The parts the tokenizer splits a normalized word into, and one space.
@@ -82,7 +82,7 @@ class WordIds:
             parts = _ASCII_PARTS.findall(joined.lower())
         else:
             parts = _PARTS.findall(self.tokenizer.normalizer.normalize_str(joined))
-        if len(self.parts) > 2 * self.size:
+        if len(self.parts) > self.size:
             self.parts.clear()
         self.parts[" "] = _GAP.tobytes()
         coded = list(map(self.parts.get, parts))
@@ -144,7 +144,7 @@ class WordIds:
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     known = WordIds(path)
     end = np.array([end_id], "<u4")
-    for batch in slices(batches, "_text"):
+    for batch in slices(batches, "_text", 2 << 20):
         ids, begins = known.of(*text_bytes(batch.column("_text")))
         rows: list[tuple] = []
         begins = begins.tolist()
