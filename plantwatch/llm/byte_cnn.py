@@ -26,7 +26,9 @@ FILTERS = 12
 # The bound of the training sample: windows per language, and of all languages together.
 WINDOWS_PER_LANGUAGE = 1500
 WINDOWS = 12_000
+WINDOWS_PER_TEXT = 8  # at most, where a language has few texts
 EPOCHS = 8
+STEPS = 1000  # at least, for small samples
 BATCH = 64
 RATE = 0.004
 UNKNOWN = "und"
@@ -121,8 +123,9 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
     rng = np.random.default_rng(seed)
     moments: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     step = 0
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, -(-STEPS * BATCH // max(1, len(windows))))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         order = rng.permutation(len(windows))
         for k in range(0, len(order), BATCH):
             own = order[k : k + BATCH]
@@ -149,17 +152,21 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One window of each text, at a place its row's hash picks."""
+    """Some windows of each text, evenly apart from a place its row's hash picks."""
     for batch in slices(batches, "text"):
         data, offsets = text_bytes(batch.column("text"))
-        sizes = np.diff(offsets)
-        key = batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64)
-        counts = np.maximum(-(-sizes // LENGTH), 1)
-        starts = offsets[:-1] + (key % counts) * LENGTH
-        ends = np.minimum(starts + LENGTH, offsets[1:])
-        own = [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        counts = np.maximum(-(-np.diff(offsets) // LENGTH), 1).tolist()
+        rows: list[tuple] = []
+        columns = (batch.column(c).to_pylist() for c in ("lang", "key", "take"))
+        for k, (lang, key, take) in enumerate(zip(*columns, strict=True)):
+            parts = min(take, counts[k])
+            for place in range(parts):
+                start = int(offsets[k]) + (key + place * counts[k] // parts) % counts[k] * LENGTH
+                own = data[start : min(start + LENGTH, int(offsets[k + 1]))]
+                rows.append((lang, key, own.tobytes()))
+        kinds = (pa.string(), pa.int64(), pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("lang"), batch.column("key"), pa.array(own, pa.binary())], names=["lang", "key", "window"]
+            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["lang", "key", "window"]
         )
 
 
@@ -175,13 +182,16 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang"))
     usable = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & may_learn(F.col("id")))
-    shares = {r.lang: min(1.0, WINDOWS_PER_LANGUAGE / r.n) for r in
-              usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(WINDOWS).collect()}
+    counted = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(WINDOWS).collect()
+    sizes = {r.lang: r.n for r in counted}
+    shares = {lang: min(1.0, WINDOWS_PER_LANGUAGE / n) for lang, n in sizes.items()}
     if not shares:
         return None
     share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
+    taken = {lang: min(WINDOWS_PER_TEXT, max(1, -(-WINDOWS_PER_LANGUAGE // sizes[lang]))) for lang in shares}
+    take = F.create_map(*[F.lit(x) for pair in taken.items() for x in pair])[F.col("lang")]
     key = F.xxhash64("id", "lang").bitwiseAND(F.lit(2**62 - 1))
-    picked = usable.withColumn("key", key).where(F.col("key") < share * float(2**62))
+    picked = usable.withColumn("key", key).withColumn("take", take).where(F.col("key") < share * float(2**62))
     found = picked.mapInArrow(_sample, "lang string, key long, window binary").orderBy("key", "lang", "window").limit(WINDOWS).collect()
     languages = sorted({r.lang for r in found})
     if not languages:

@@ -22,6 +22,8 @@ RULES = (
 )
 MAX_BAD = 0.35
 Z = 1.645
+# Prior strength where nothing at all is labelled: wide enough to block nobody.
+NO_EVIDENCE = 2.0
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -59,6 +61,8 @@ def _strength(groups: DataFrame) -> float:
         F.sum((F.col("bad") - F.col("n") * m) ** 2 / (m * (1 - m)) - F.col("n")).alias("excess"),
         F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs"),
     ).first()
+    if row["pairs"] is None:
+        return NO_EVIDENCE
     if not row["pairs"]:
         return 1e6
     rho = min(max(row["excess"] / row["pairs"], 1e-6), 0.999)

@@ -7,8 +7,12 @@ Its suffix automaton is grown in the order of document ids, and each document's
 through the automaton of the smaller ids for its matching statistics before it is added: where at
 least ``WINDOW`` words match, they are removed.
 
-Shards go to the documents that have their anchor, by a shuffle. One broadcast of all automata
-would grow with the corpus and every document would meet every shard.
+An anchor of very many documents has its shard broadcast to splits of them: its reference holds
+only first occurrences of windows that recur, and each split streams its documents through the
+automaton of that reference.
+
+Shards go to the documents that have their anchor, by a shuffle. One broadcast of all automata to
+all documents would grow with the corpus, and every document would meet every shard.
 """
 
 from __future__ import annotations
@@ -26,9 +30,13 @@ from plantwatch.session import fresh_path
 
 WINDOW = 50
 GRAM = 8
-# An anchor that more documents have has its pieces cut to windows that recur, first of all.
+# An anchor that more documents have is worked on in splits of about so many, each with a copy of
+# the shard's reference, which is cut to the first occurrences of windows that recur.
 CROWDED = 200
+SPLIT = 2000
+BLOCK_WINDOWS = 500_000
 SALTS = 8
+PIECE = "anchor long, doc long, at int, words binary, crowd long, crowded boolean"
 _NULL_ID = -(2**63)
 
 
@@ -152,48 +160,115 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterat
             if b - a < window:
                 continue
             own = hashes[a:b]
-            place, which = anchors(own, window, gram)
+            which = anchors(own, window, gram)[1]
             wanted = {h: crowd for h, crowd in zip(batch.column("anchors")[k].as_py(), batch.column("crowds")[k].as_py(), strict=True)}
-            starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
-            stops = np.append(starts[1:], len(place))
+            # Windows in a row with equal anchors are one piece, also where a text repeats itself.
+            starts = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+            stops = np.append(starts[1:], len(which))
             short = own.astype(np.uint32)
             for s, e, h in zip(starts.tolist(), stops.tolist(), which[starts].view(np.int64).tolist(), strict=True):
                 if h in wanted:
-                    rows.append((h, docs[k], s, short[s : e + window - 1].tobytes(), wanted[h]))
+                    rows.append((h, docs[k], s, short[s : e + window - 1].tobytes(), wanted[h], wanted[h] > 0))
         if rows:
             columns = list(zip(*rows, strict=True))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_())
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["anchor", "doc", "at", "words", "crowded"]
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["anchor", "doc", "at", "words", "crowd", "crowded"]
             )
 
 
-def _window_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """All windows of each piece as hashes."""
+def _first_and_last(w: np.ndarray, doc: np.ndarray, at: np.ndarray, place: np.ndarray, anchor: np.ndarray, high: np.ndarray) -> tuple:
+    """Per window hash: its first occurrence by (doc, at, place), and the largest document."""
+    order = np.lexsort((place, at, doc, w))
+    w, doc, at, place, anchor, high = (x[order] for x in (w, doc, at, place, anchor, high))
+    first = np.flatnonzero(np.append(True, w[1:] != w[:-1])) if len(w) else np.zeros(0, np.int64)
+    top = np.maximum.reduceat(high, first) if len(first) else high
+    return w[first], doc[first], at[first], place[first], anchor[first], top
+
+
+def _window_blocks(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """All windows of the pieces, each hash once per block with its first occurrence, as packed columns.
+
+    A window of very many documents is so sent once per block of pieces and not once per document.
+    """
+
+    def flush(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        columns = _first_and_last(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        bucket = (columns[0].view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        rows = [(k, np.stack([c[order[x:y]] for c in columns]).tobytes()) for k, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if y > x]
+        numbers, blocks = zip(*rows, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "block"])
+
+    parts, held = [], 0
     for batch in batches:
-        lists = [window_hashes(np.frombuffer(w.as_buffer(), np.uint32).astype(np.uint64), window).view(np.int64) for w in batch.column("words")]
+        for h, doc, at, words in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc", "at")), batch.column("words"), strict=True):
+            own = window_hashes(np.frombuffer(words.as_buffer(), np.uint32).astype(np.uint64), window).view(np.int64)
+            n = len(own)
+            parts.append((own, np.full(n, doc), np.full(n, at), np.arange(n), np.full(n, h), np.full(n, doc)))
+            held += n
+        if held > BLOCK_WINDOWS:
+            yield from flush(parts)
+            parts, held = [], 0
+    if held:
+        yield from flush(parts)
+
+
+def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """First occurrences of the windows that several documents have, by piece."""
+    blocks = [np.frombuffer(b.as_buffer().to_pybytes(), np.int64).reshape(6, -1) for batch in batches for b in batch.column("block")]
+    if not blocks:
+        return
+    _, doc, at, place, anchor, high = _first_and_last(*np.concatenate(blocks, axis=1))
+    shared = doc != high
+    doc, at, place, anchor = (x[shared] for x in (doc, at, place, anchor))
+    order = np.lexsort((place, at, doc, anchor))
+    doc, at, place, anchor = (x[order] for x in (doc, at, place, anchor))
+    if len(doc):
+        new = np.append(True, (doc[1:] != doc[:-1]) | (at[1:] != at[:-1]) | (anchor[1:] != anchor[:-1]))
+        first = np.flatnonzero(new)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pa.array(place.astype(np.int32)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("anchor"), batch.column("doc"), batch.column("at"), pa.array(lists, pa.list_(pa.int64()))],
-            names=["anchor", "doc", "at", "windows"],
+            [pa.array(anchor[first]), pa.array(doc[first]), pa.array(at[first].astype(np.int32)), lists], names=["anchor", "doc", "at", "places"]
         )
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Pieces cut to their runs of windows that recur."""
+    """Pieces cut to their runs of the windows named in ``places``."""
     for batch in batches:
         rows: list[tuple] = []
-        for h, doc, at, words, places in zip(
-            *(batch.column(c).to_pylist() for c in ("anchor", "doc", "at")), batch.column("words"), batch.column("places").to_pylist(), strict=True
+        for h, doc, crowd, words, places in zip(
+            *(batch.column(c).to_pylist() for c in ("anchor", "doc", "crowd")), batch.column("words"), batch.column("places").to_pylist(), strict=True
         ):
             whole = words.as_buffer().to_pybytes()
             places = np.unique(np.array(places))
             for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
-                s, e = int(run[0]), int(run[-1]) + window
-                rows.append((h, doc, at + s, whole[4 * s : 4 * e]))
+                rows.append((h, doc, crowd, whole[4 * int(run[0]) : 4 * (int(run[-1]) + window)]))
         if rows:
             columns = list(zip(*rows, strict=True))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["anchor", "doc", "at", "words"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["anchor", "doc", "crowd", "words"])
+
+
+def _lanes(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Splits of crowded shards, sorted by document: its pieces match first, then its reference is added."""
+    key, automaton = None, SuffixAutomaton()
+    for batch in batches:
+        rows: list[tuple] = []
+        columns = (batch.column(c).to_pylist() for c in ("anchor", "split", "doc", "reference", "at"))
+        for h, split, doc, reference, at, words in zip(*columns, batch.column("words"), strict=True):
+            piece = np.frombuffer(words.as_buffer(), np.uint32).tolist()
+            if (h, split) != key:
+                key, automaton = (h, split), SuffixAutomaton()
+            if reference:
+                automaton.add(piece)
+                continue
+            for s, e in spans_of(automaton.matching(piece), window):
+                rows.append((doc, ((at + s) << 32) + e - s))
+        if rows:
+            docs, spans = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(spans, pa.int64())], names=["doc", "span"])
 
 
 def _stream(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -272,40 +347,44 @@ def dedup_substrings(
     held = spark.read.schema("anchor long, doc long").parquet(f"{folder}/anchors")
     common = (
         held.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
-        .where(F.col("low") != F.col("high")).select("anchor", (F.col("n") > crowded).alias("crowd"))
+        .where(F.col("low") != F.col("high"))
+        .select("anchor", F.when(F.col("n") > crowded, F.col("n")).otherwise(0).alias("crowd"))
     )
     per_doc = held.join(common, "anchor").groupBy("doc").agg(
         F.collect_list(F.struct("anchor", "crowd")).alias("both")
     ).select(F.col("doc"), F.col("both.anchor").alias("anchors"), F.col("both.crowd").alias("crowds"))
     (
         rows.select(key.alias("doc"), "_text").join(per_doc, "doc").select("doc", "_text", "anchors", "crowds")
-        .mapInArrow(lambda b: _pieces(b, window, gram), "anchor long, doc long, at int, words binary, crowded boolean")
-        .write.partitionBy("crowded").parquet(f"{folder}/pieces")
+        .mapInArrow(lambda b: _pieces(b, window, gram), PIECE).write.partitionBy("crowded").parquet(f"{folder}/pieces")
     )
-    stored = spark.read.schema("anchor long, doc long, at int, words binary, crowded boolean").parquet(f"{folder}/pieces")
-    plain = stored.where(~F.col("crowded")).drop("crowded")
+    stored = spark.read.schema(PIECE).parquet(f"{folder}/pieces")
     many = stored.where(F.col("crowded")).drop("crowded")
 
-    # Around an anchor of many documents most windows are met once: those cannot match.
-    seen = many.mapInArrow(lambda b: _window_rows(b, window), "anchor long, doc long, at int, windows array<long>").select(
-        "anchor", "doc", "at", F.posexplode("windows").alias("place", "w")
-    )
-    recurring = (
-        seen.groupBy("w").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-        .where(F.col("low") != F.col("high")).select("w", F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt"))
+    # Around a crowded anchor most windows are met once; the reference is the first document's
+    # occurrence of each window that others have too.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    owners = (
+        many.mapInArrow(lambda b: _window_blocks(b, window, buckets), "bucket int, block binary")
+        .repartition("bucket").mapInArrow(_owners, "anchor long, doc long, at int, places array<int>")
+        .groupBy("anchor", "doc", "at").agg(F.flatten(F.collect_list("places")).alias("places"))
     )
-    places = (
-        seen.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).join(recurring, ["w", "salt"])
-        .groupBy("anchor", "doc", "at").agg(F.collect_list("place").alias("places"))
+    reference = many.join(owners, ["anchor", "doc", "at"]).select("anchor", "doc", "crowd", "words", "places").mapInArrow(
+        lambda b: _cut(b, window), "anchor long, doc long, crowd long, words binary"
     )
-    trimmed = many.join(places, ["anchor", "doc", "at"]).select("anchor", "doc", "at", "words", "places").mapInArrow(
-        lambda b: _cut(b, window), "anchor long, doc long, at int, words binary"
+    splits = F.ceil(F.col("crowd") / SPLIT)
+    lane = ("anchor", "split", "doc", "reference", "at", "words")
+    streams = many.select("*", F.pmod(F.xxhash64("doc"), splits).alias("split"), F.lit(False).alias("reference")).select(*lane)
+    copies = reference.select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), splits - 1)).alias("split"), F.lit(True).alias("reference"), F.lit(0).alias("at")
+    ).select(*lane)
+    of_many = (
+        streams.unionAll(copies).repartition("anchor", "split").sortWithinPartitions("anchor", "split", "doc", "reference")
+        .mapInArrow(lambda b: _lanes(b, window), "doc long, span long")
     )
-    plain.unionByName(trimmed).withColumn("content", F.xxhash64("words")).write.parquet(f"{folder}/cut")
-    cut = spark.read.schema("anchor long, doc long, at int, words binary, content long").parquet(f"{folder}/cut")
 
     # Equal pieces of one anchor stream once, for the least id that has them.
-    distinct = cut.groupBy("anchor", "content").agg(F.min("doc").alias("first"), F.first("words").alias("words"))
+    few = stored.where(~F.col("crowded")).select("anchor", "doc", "at", "words", F.xxhash64("words").alias("content"))
+    distinct = few.groupBy("anchor", "content").agg(F.min("doc").alias("first"), F.first("words").alias("words"))
     judged = (
         distinct.repartition("anchor").sortWithinPartitions("anchor", "first", "content")
         .mapInArrow(lambda b: _stream(b, window), "anchor long, content long, first long, starts array<int>, ends array<int>")
@@ -315,7 +394,7 @@ def dedup_substrings(
     # For larger ids than the first the whole piece has been met.
     length = (F.octet_length("words") / 4).cast("long")
     spans = (
-        cut.select("anchor", "content", "doc", "at", length.alias("length"))
+        few.select("anchor", "content", "doc", "at", length.alias("length"))
         .withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
         .join(answers, ["anchor", "content", "salt"])
         .select(
@@ -323,7 +402,7 @@ def dedup_substrings(
             F.when(first, F.transform(F.arrays_zip("starts", "ends"), lambda x: (F.col("at") + x["starts"]).cast("long") * (1 << 32) + (x["ends"] - x["starts"])))
             .otherwise(F.array(F.col("at").cast("long") * (1 << 32) + F.col("length"))).alias("s"),
         )
-        .select("doc", F.explode("s").alias("span")).groupBy("doc").agg(F.collect_list("span").alias("spans"))
+        .select("doc", F.explode("s").alias("span")).unionAll(of_many).groupBy("doc").agg(F.collect_list("span").alias("spans"))
     )
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}["_rest"]
     return (
