@@ -35,6 +35,9 @@ HEADLINES = (
     "headline_kpis",
     "stratified_split",
     "roc_auc_temperature",
+    "ml_clipped",
+    "ml_robust_scaled",
+    "stream_ml_features",
 )
 
 

@@ -595,7 +595,27 @@ STREAMS = {
 }
 
 
+def _all_hold() -> str:
+    return " AND ".join(f"coalesce({p}, FALSE)" for p in _RULES["telemetry"][1].values())
+
+
+def _broken() -> str:
+    return ", ".join(f"CASE WHEN NOT coalesce({p}, FALSE) THEN '{name}' END" for name, p in _RULES["telemetry"][1].items())
+
+
 SAME = {
+    "expect_telemetry_dropped": _select(
+        f"(SELECT * FROM telemetry_clean WHERE {_all_hold()})",
+        "device_id timestamp reading_hour device_type location facility manufacturer model",
+        "hour_of_day day_of_week days_since_installation days_since_last_maintenance days_to_next_maintenance",
+        _SENSORS,
+        "reading_date",
+    ),
+    "expect_telemetry_quarantined": _select(
+        f"""(SELECT device_id, "timestamp", pressure, concat_ws(',', {_broken()}) AS broken_rules
+             FROM telemetry_clean WHERE NOT ({_all_hold()}))""",
+        "device_id timestamp broken_rules", "", "pressure",
+    ),
     "telemetry_clean_shuffled": TABLES["telemetry_clean"],
     "telemetry_clean_latest": TABLES["telemetry_clean"],
 }

@@ -14,7 +14,7 @@ from plantwatch.operators import coherence, profile
 from plantwatch.operators.correlate import correlation_pairs, strong_pairs
 from plantwatch.operators.lookup import BROADCAST_BYTES, latest_snapshot, orphan_keys
 from plantwatch.operators.rules import (
-    DEVICE_RULES, FAILURE_RULES, MAINTENANCE_RULES, TELEMETRY_RULES, expect_all,
+    DEVICE_RULES, FAILURE_RULES, MAINTENANCE_RULES, TELEMETRY_RULES, drop_failing, expect_all, quarantine,
 )
 from plantwatch.plans import explore, gold, silver
 from plantwatch.schemas import ML_FEATURES_KEY
@@ -186,6 +186,16 @@ def _(e):
     return expect_all(_clean(e), TELEMETRY_RULES)[1]
 
 
+@query("expect_telemetry_dropped")
+def _(e):
+    return drop_failing(_clean(e), TELEMETRY_RULES).drop("ingestion_time")
+
+
+@query("expect_telemetry_quarantined")
+def _(e):
+    return quarantine(_clean(e), TELEMETRY_RULES).select("device_id", "timestamp", "pressure", "broken_rules")
+
+
 @query("expect_devices")
 def _(e):
     return expect_all(_devices_clean(e), DEVICE_RULES)[1]

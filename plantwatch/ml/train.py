@@ -8,6 +8,8 @@ import logging
 from dataclasses import asdict, dataclass, field
 from multiprocessing.pool import ThreadPool
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -171,7 +173,7 @@ def train(
             best = grid_search(train_rows, candidates, keys=keys, parallelism=parallelism)[0]
             search_auc = best.pop("auc")
             params, tuning = BoostParams(**best), "grid_search"
-        except Exception:
+        except (PySparkException, Py4JError, ValueError):
             log.exception("search failed, fitting %s", params)
 
     # A category seen only among the test rows gets a code of its own instead of failing.

@@ -65,6 +65,23 @@ def expect_all(df: DataFrame, rules: dict[str, str]) -> tuple[DataFrame, DataFra
     return df, rule_metrics(df, rules)
 
 
+def _holds(predicate: str) -> Column:
+    return F.coalesce(F.expr(predicate), F.lit(False))
+
+
+def drop_failing(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """Only the rows that keep every rule; on streams too."""
+    for predicate in rules.values():
+        df = df.where(_holds(predicate))
+    return df
+
+
+def quarantine(df: DataFrame, rules: dict[str, str], column: str = "broken_rules") -> DataFrame:
+    """Only the rows that break a rule, with the names of those they break, in the rules' order."""
+    broken = [F.when(~_holds(predicate), F.lit(name)) for name, predicate in rules.items()]
+    return df.withColumn(column, F.concat_ws(",", *broken)).where(F.col(column) != "")
+
+
 def observe_rules(df: DataFrame, name: str, rules: dict[str, str]) -> DataFrame:
     """The same counts as side metrics of whatever query runs ``df``, streaming included.
 

@@ -217,7 +217,8 @@ def device_summary(
         joined = joined.join(side, "device_id", "left")
     joined = joined.fillna(0, list(SUMMARY_NUMBERS))
     for c in SUMMARY_CATEGORIES:
-        joined = joined.join(F.broadcast(ordinal_codes(devices, c)), c)
+        # Adaptive execution broadcasts the codes if they turn out small.
+        joined = joined.join(ordinal_codes(devices, c), c)
     return joined.select("device_id", *SUMMARY_CATEGORIES, *SUMMARY_NUMBERS, *SUMMARY_CODES)
 
 
@@ -254,9 +255,7 @@ def headline_kpis(
             failures,
             failures=n,
             resolution_rate_pct=percent(F.count(repair_ts("repair_timestamp")), n),
-        ),
-        failures.agg(n.alias("f")).select(
-            F.lit("failures_per_device").alias("metric"), (F.col("f") / device_total).alias("value")
+            failures_per_device=n / device_total,
         ),
         rows(
             maintenance,
