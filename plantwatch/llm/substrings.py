@@ -343,8 +343,8 @@ def dedup_substrings(
     rows = carry(docs, id_column, text_column)
     key = F.coalesce("_id", F.lit(_NULL_ID))
 
-    rows.select("_id", "_text").mapInArrow(lambda b: _anchor_rows(b, window, gram), "anchor long, doc long").write.parquet(f"{folder}/anchors")
-    held = spark.read.schema("anchor long, doc long").parquet(f"{folder}/anchors")
+    # Read twice and so computed twice, which is cheaper than storing it.
+    held = rows.select("_id", "_text").mapInArrow(lambda b: _anchor_rows(b, window, gram), "anchor long, doc long")
     common = (
         held.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
         .where(F.col("low") != F.col("high"))
