@@ -15,11 +15,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from plantwatch.llm import byte_cnn, line_runs, merkle, ngram_join, packing, reputation, secret_crf, substrings, warc, wu_manber
+from plantwatch.llm.bytewords import text_bytes
 from plantwatch.llm.queries import llm_queries
 
 SCHEMA = "doc_id long, text string, lang string, key string, n_words int, _id string, token double"
@@ -355,6 +357,29 @@ def test_ngram_join(docs, nothing, monkeypatch, options, hot):
         assert left.columns == docs.columns
 
 
+def test_ngram_join_links_sets_of_unequal_needs(spark, monkeypatch):
+    """Two near copies of 100 shingles, of which one has a member the sketch counts 20,000 times."""
+
+    def members(words):
+        return ngram_join.shingle_sets(*text_bytes(pa.array([" ".join(words)])))[0]
+
+    def counter(values):
+        return (values >> np.uint64(64 - ngram_join.SKETCH_BITS)).astype(np.int64)
+
+    plain = [f"w{k}" for k in range(102)]
+    for k in range(1000):
+        other = [*plain[:50], f"own{k}", *plain[51:]]
+        own = np.setdiff1d(members(other)[:11], members(plain))
+        if len(own) and not np.isin(counter(own[:1]), counter(members(plain))).any():
+            break
+    counts = np.zeros(1 << ngram_join.SKETCH_BITS, np.int64)
+    counts[counter(own[:1])] = 20_000
+    monkeypatch.setattr(ngram_join, "sketch", lambda *_: counts)
+    rows = [(1, " ".join(plain)), (2, " ".join(other)), (3, " ".join(f"x{k}" for k in range(102)))]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert _rows(got, "doc_id", "n_shingles", "component_id") == _want([(1, 100, 1), (2, 100, 1), (3, 100, 3)])
+
+
 def test_components_of_a_long_chain(spark, tmp_path):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101)], "a long, b long")
     roots = {r.v: r.root for r in ngram_join.components(edges, f"file://{tmp_path}/c").collect()}
