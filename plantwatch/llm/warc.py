@@ -130,6 +130,9 @@ def _parse(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa.Rec
                         break
                     head = bytes(buffer[:end]).split(b"\r\n")
                     del buffer[: end + 4]
+                    if not end:
+                        # A file whose last block ends in a bare line end gives one gap too many.
+                        continue
                     if not head[0].startswith(b"WARC/"):
                         raise ValueError(f"not a WARC record: {head[0][:40]!r}")
                     fields = dict(line.split(b": ", 1) for line in head[1:])

@@ -109,6 +109,18 @@ def test_archives_read_back(spark, tmp_path):
     assert back == {1: ("one\r\n\r\ntwo", "http://a"), 2: ("", "http://b")}
 
 
+@pytest.mark.parametrize("end", ["\r\n", "\r\n\r\n", "\r\n\r\n\r\n", "\r", "\n"])
+def test_archives_whose_last_page_ends_in_line_ends(spark, tmp_path, end):
+    rows = [(k, "http://h", f"z{k}{end}") for k in range(3)]
+    for count in (1, 3):
+        pages = spark.createDataFrame(rows[:count], "page_id long, url string, html string")
+        # One file for each page, read by one task.
+        warc.write_archives(pages.repartition(count, "page_id"), f"file://{tmp_path}/{count}")
+        back = warc.read_archives(spark, f"file://{tmp_path}/{count}").collect()
+        assert {r.page_id: bytes(r.payload).decode() for r in back} == {k: html for k, _, html in rows[:count]}
+        assert all(r.sound for r in back)
+
+
 def test_substrings(docs, nothing):
     def brute(rows, size):
         starts = defaultdict(list)
