@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plantwatch.llm.bytewords import runs, slices, text_bytes
 from plantwatch.llm.frames import carry, restore
@@ -178,7 +178,8 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """Train on at most ``WINDOWS`` windows of labelled rows that are not held out.
 
     Rows are picked by the hash of id and text, so that each language gives about
-    ``WINDOWS_PER_LANGUAGE`` of them. None without labelled rows.
+    ``WINDOWS_PER_LANGUAGE`` of them, and with many languages no more than its part of all.
+    None without labelled rows.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang"))
     usable = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & may_learn(F.col("id")))
@@ -192,7 +193,12 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     take = F.create_map(*[F.lit(x) for pair in taken.items() for x in pair])[F.col("lang")]
     key = F.xxhash64("id", "lang").bitwiseAND(F.lit(2**62 - 1))
     picked = usable.withColumn("key", key).withColumn("take", take).where(F.col("key") < share * float(2**62))
-    found = picked.mapInArrow(_sample, "lang string, key long, window binary").orderBy("key", "lang", "window").limit(WINDOWS).collect()
+    # Keys of rare languages are spread wider than those of others, so no cut may go by the key alone.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("key", "window"))
+    found = (
+        picked.mapInArrow(_sample, "lang string, key long, window binary").withColumn("rank", rank)
+        .where(F.col("rank") <= WINDOWS // len(shares)).orderBy("key", "lang", "window").collect()
+    )
     languages = sorted({r.lang for r in found})
     if not languages:
         return None

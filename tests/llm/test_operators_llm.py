@@ -335,6 +335,18 @@ def test_packing(docs, nothing):
     assert packing.pack(nothing, TOKENIZER).count() == 0
 
 
+def test_rare_languages_are_sampled_beside_many_big_ones(spark, monkeypatch):
+    for name, value in {"WINDOWS": 40, "WINDOWS_PER_LANGUAGE": 10, "STEPS": 1, "EPOCHS": 1}.items():
+        monkeypatch.setattr(byte_cnn, name, value)
+    rows = [(k, f"text {k}", f"big{k % 8}") for k in range(3200)] + [(4000 + k, f"other {k}", f"rare{k % 2}") for k in range(12)]
+    learned = []
+    monkeypatch.setattr(byte_cnn, "train", lambda windows, labels, languages: learned.extend([languages, labels]))
+    byte_cnn.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    languages, labels = learned
+    assert languages == [*[f"big{k}" for k in range(8)], "rare0", "rare1"]
+    assert len(labels) <= 40 and max(Counter(labels.tolist()).values()) <= 4
+
+
 @pytest.mark.parametrize("options", [{}, {"percent": 80, "size": 5}])
 @pytest.mark.parametrize("hot", [2, 128])
 def test_ngram_join(docs, nothing, monkeypatch, options, hot):
