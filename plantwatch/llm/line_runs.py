@@ -3,8 +3,8 @@
 A run is a stored table of (key, n_docs, holder), one row per line key, hash-partitioned and
 sorted by the key. A batch of documents becomes one run of level 0; as soon as a level has
 ``fanout`` runs they are merged into one run of the next level, so a key is rewritten about
-log(batches) times and there are never more than ``fanout`` runs of a level. Lines are judged
-by a merge anti-join with the runs.
+log(batches) times and there are never more than ``fanout`` runs of a level. At the end all
+runs are merged and the lines joined with the keys that enough documents hold.
 
 Native: only DataFrame functions.
 """
