@@ -15,6 +15,7 @@ from plantwatch.llm.ngram_join import near_duplicates
 from plantwatch.llm.packing import pack
 from plantwatch.llm.reputation import judge_urls
 from plantwatch.llm.secret_crf import learn as learn_secrets, scan
+from plantwatch.llm.spill_align import align_tokens
 from plantwatch.llm.substrings import dedup_substrings
 from plantwatch.llm.warc import resolve
 from plantwatch.llm.wu_manber import find_benchmark
@@ -89,6 +90,12 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op13_spill_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return align_tokens(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_warc_revisits": op1_warc_revisits,
@@ -101,4 +108,5 @@ def llm_queries() -> dict[str, Query]:
         "op8_line_runs": op8_line_runs,
         "op9_cutting_stock": op9_cutting_stock,
         "op10_ngram_join": op10_ngram_join,
+        "op13_spill_alignment": op13_spill_alignment,
     }
