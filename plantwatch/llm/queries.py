@@ -13,6 +13,7 @@ from plantwatch.llm.line_runs import dedup_lines
 from plantwatch.llm.merkle import fingerprint_edits
 from plantwatch.llm.ngram_join import near_duplicates
 from plantwatch.llm.packing import pack
+from plantwatch.llm.pii_spans import scan_private
 from plantwatch.llm.reputation import judge_urls
 from plantwatch.llm.secret_crf import learn as learn_secrets, scan
 from plantwatch.llm.spill_align import align_tokens
@@ -90,6 +91,10 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op11_private_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_private(_table(spark, folder, "documents").select("doc_id", "text")).drop("base_spans")
+
+
 def op13_spill_alignment(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return align_tokens(
@@ -108,5 +113,6 @@ def llm_queries() -> dict[str, Query]:
         "op8_line_runs": op8_line_runs,
         "op9_cutting_stock": op9_cutting_stock,
         "op10_ngram_join": op10_ngram_join,
+        "op11_private_spans": op11_private_spans,
         "op13_spill_alignment": op13_spill_alignment,
     }
