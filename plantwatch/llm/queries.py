@@ -18,6 +18,7 @@ from plantwatch.llm.reputation import judge_urls
 from plantwatch.llm.secret_crf import learn as learn_secrets, scan
 from plantwatch.llm.spill_align import align_tokens
 from plantwatch.llm.substrings import dedup_substrings
+from plantwatch.llm.turn_repair import damage, repair_conversations
 from plantwatch.llm.warc import resolve
 from plantwatch.llm.wu_manber import find_benchmark
 
@@ -95,6 +96,11 @@ def op11_private_spans(spark: SparkSession, folder: str) -> DataFrame:
     return scan_private(_table(spark, folder, "documents").select("doc_id", "text")).drop("base_spans")
 
 
+def op12_astar_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_conversations(damage(conversations), conversations)
+
+
 def op13_spill_alignment(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return align_tokens(
@@ -114,5 +120,6 @@ def llm_queries() -> dict[str, Query]:
         "op9_cutting_stock": op9_cutting_stock,
         "op10_ngram_join": op10_ngram_join,
         "op11_private_spans": op11_private_spans,
+        "op12_astar_repair": op12_astar_repair,
         "op13_spill_alignment": op13_spill_alignment,
     }
