@@ -50,5 +50,95 @@ FROM words w LEFT JOIN hit h ON w.doc_id = h.doc_id LEFT JOIN named n ON w.doc_i
 """
 
 
+def _turn_moves() -> str:
+    """What can be done up to one row from each state: edits, roles reached, cost, next state."""
+    due = {0: 2, 1: 2, 2: 3, 3: 2}
+    kept = {(0, 0): 1, (0, 1): 2, (1, 1): 2, (2, 2): 3, (3, 1): 2}
+    rows = []
+    for start in range(4):
+        state, edits, reached = start, "", ""
+        for inserts in range(3):
+            for letter in range(4):
+                for fault in range(3):
+                    rows.append((start, letter, fault, edits + "D", reached + "-", 3 * inserts + 4, state))
+                    if fault < 2:
+                        rows.append((start, letter, fault, edits + "R", f"{reached}{due[state]}",
+                                     3 * inserts + 3 + 3 * fault, due[state]))
+                        if (state, letter) in kept:
+                            after = kept[state, letter]
+                            rows.append((start, letter, fault, edits + "K", f"{reached}{after}",
+                                         3 * inserts + 3 * fault, after))
+            state, edits, reached = due[state], edits + "I", f"{reached}{due[state]}"
+    return ", ".join(str(r) for r in rows)
+
+
+TURNS = rf"""
+WITH RECURSIVE
+crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))),
+original AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+marked AS (
+  SELECT o.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(k, ''), lambda ch: CAST(unicode(ch) AS BIGINT))),
+                              lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS hit
+  FROM original o, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN hit = 1 THEN '' WHEN hit = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(generate_series(1, CASE WHEN hit = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM marked WHERE hit <> 0),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) - 1 AS i FROM damaged),
+faults AS (
+  SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+         NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM ordered),
+judged AS (
+  SELECT *, CASE WHEN blank OR seen THEN 2 WHEN cut THEN 1 ELSE 0 END AS fault,
+         CASE left(role, 1) WHEN 's' THEN 0 WHEN 'u' THEN 1 WHEN 'a' THEN 2 ELSE 3 END AS letter FROM faults),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE seen AND NOT blank) AS duplicate,
+         count(*) FILTER (WHERE cut AND NOT seen AND NOT blank) AS truncated,
+         count(*) FILTER (WHERE i > 0 AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal,
+         count(*) AS n FROM judged GROUP BY conv_id),
+moves(q, letter, fault, edits, reached, cost, after) AS (VALUES {_turn_moves()}),
+paths AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, CAST(0 AS BIGINT) AS cost, '' AS audit, '' AS reached FROM counted
+  UNION ALL
+  SELECT conv_id, i, q, cost, audit, reached FROM (
+    SELECT p.conv_id, p.i + 1 AS i, m.after AS q, CAST(p.cost + m.cost AS BIGINT) AS cost, p.audit || m.edits AS audit,
+           p.reached || m.reached AS reached,
+           row_number() OVER (PARTITION BY p.conv_id, m.after ORDER BY p.cost + m.cost, p.audit || m.edits) AS place
+    FROM paths p JOIN judged j ON p.conv_id IS NOT DISTINCT FROM j.conv_id AND p.i = j.i
+    JOIN moves m ON m.q = p.q AND m.letter = j.letter AND m.fault = j.fault) WHERE place = 1),
+ended AS (
+  SELECT p.conv_id, p.cost + e.cost AS cost, p.audit || e.edits AS audit, p.reached || e.reached AS reached
+  FROM paths p JOIN counted c ON p.conv_id IS NOT DISTINCT FROM c.conv_id AND p.i = c.n
+  JOIN (VALUES (0, 0, '', ''), (1, 6, 'II', '23'), (2, 3, 'I', '3'), (3, 0, '', '')) e(q, cost, edits, reached) ON e.q = p.q),
+best AS (SELECT * FROM ended QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1),
+steps AS (
+  SELECT conv_id, audit, reached, unnest(generate_series(1, length(audit))) AS p FROM best),
+repaired AS (
+  SELECT s.conv_id, s.p, CASE WHEN substr(s.audit, s.p, 1) = 'K' THEN j.role WHEN substr(s.reached, s.p, 1) = '2' THEN 'user' ELSE 'assistant' END
+         || ':' || CASE WHEN substr(s.audit, s.p, 1) = 'I' THEN '' ELSE j.text END AS line
+  FROM steps s LEFT JOIN judged j ON s.conv_id IS NOT DISTINCT FROM j.conv_id AND substr(s.audit, s.p, 1) <> 'I'
+       AND j.i = length(replace(left(s.audit, s.p - 1), 'I', ''))
+  WHERE substr(s.audit, s.p, 1) <> 'D'),
+texts AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY p) AS whole FROM repaired GROUP BY conv_id)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(b.cost, 0) AS cost,
+       coalesce(b.audit, '') AS audit, sha256(coalesce(t.whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN texts t ON o.conv_id IS NOT DISTINCT FROM t.conv_id
+"""
+
+
 def llm_oracle() -> dict[str, str]:
-    return {"op3_wu_manber": LEAKS, "op8_line_runs": LINES}
+    return {"op3_wu_manber": LEAKS, "op8_line_runs": LINES, "op12_astar_repair": TURNS}

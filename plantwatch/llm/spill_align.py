@@ -195,15 +195,15 @@ class Aligned:
 class _Chunk:
     """Records of the documents of one chunk, until they are written as runs."""
 
-    def __init__(self, number: int):
-        self.number, self.docs, self.records, self.parts = number, 0, 0, []
+    def __init__(self, number: int, most: int):
+        self.number, self.most, self.docs, self.records, self.parts = number, most, 0, 0, []
 
     def add(self, pair: np.ndarray, doc: np.ndarray, links: np.ndarray) -> None:
         self.parts.append((pair, doc, links))
         self.records += len(pair)
 
     def full(self) -> bool:
-        return self.records >= CHUNK_RECORDS or self.docs >= CHUNK_DOCS
+        return self.records >= self.most or self.docs >= CHUNK_DOCS
 
     def runs(self) -> Iterator[tuple[int, bytes, bytes]]:
         if not self.records:
@@ -300,7 +300,7 @@ def _marked(entries: np.ndarray) -> np.ndarray:
     return out
 
 
-def _encode(path_a: str, path_b: str):
+def _encode(path_a: str, path_b: str, chunk_records: int):
     """Rows of documents and, once a chunk is full, of its runs."""
     schema = pa.schema([
         ("chunk", pa.int64()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("n_a", pa.int64()),
@@ -311,7 +311,7 @@ def _encode(path_a: str, path_b: str):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _sides(path_a, path_b)
         task = TaskContext.get().partitionId() << 32
-        chunk = _Chunk(task)
+        chunk = _Chunk(task, chunk_records)
 
         def written() -> Iterator[pa.RecordBatch]:
             nonlocal chunk
@@ -319,7 +319,7 @@ def _encode(path_a: str, path_b: str):
                 row = {"chunk": [chunk.number], "part": [part], "pairs": [pairs], "docs": [docs]}
                 yield pa.RecordBatch.from_pydict(
                     {f.name: pa.array(row.get(f.name, [None]), f.type) for f in schema}, schema=schema)
-            chunk = _Chunk(chunk.number + 1)
+            chunk = _Chunk(chunk.number + 1, chunk_records)
 
         for batch in slices(batches, "_text"):
             texts = batch.column("_text").to_pylist()
@@ -448,7 +448,10 @@ def pair_counts(runs: DataFrame, most_runs: int) -> DataFrame:
         _count, "part int, number long, pairs binary")
 
 
-def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def align_tokens(
+    docs: DataFrame, path_a: str, path_b: str, id_column: str = "doc_id", text_column: str = "text",
+    chunk_records: int = CHUNK_RECORDS,
+) -> DataFrame:
     """Per document the numbers of tokens, groups, links, links with an id's commonest partner
     (``n_best``), the sum of the counts of its links and a digest of its groups.
 
@@ -456,7 +459,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_column: str = "do
     sentence-piece model that adds one. See the module for what odd rows give.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).cast("string").alias("_text"))
-    stored = materialise(texts.mapInArrow(_encode(path_a, path_b), STORED), "token-runs")
+    stored = materialise(texts.mapInArrow(_encode(path_a, path_b, chunk_records), STORED), "token-runs")
     runs = stored.filter("part IS NOT NULL").select("chunk", "part", "pairs", "docs")
     most = runs.groupBy("part").count().agg(F.max("count")).first()[0] or 0
     counts = materialise(pair_counts(runs, most), "pair-counts")
