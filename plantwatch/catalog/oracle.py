@@ -556,6 +556,46 @@ LEARNING = {
     ),
 }
 
+_CUT = """, cut_rows AS (
+  SELECT *, md5(concat_ws('|', '42', coalesce(device_id, '~'), coalesce(CAST(epoch_us(hour_bucket) AS VARCHAR), '~'), coalesce(failure_type, '~'), coalesce(severity, '~'))) AS hash,
+         md5(concat_ws('|', '43', coalesce(device_id, '~'), coalesce(CAST(epoch_us(hour_bucket) AS VARCHAR), '~'), coalesce(failure_type, '~'), coalesce(severity, '~'))) AS fold_hash
+  FROM training_rows WHERE hour_bucket <= TIMESTAMP '2024-01-20 00:00:00'),
+cut_split AS (
+  SELECT *, CAST(rank() OVER (PARTITION BY will_fail ORDER BY hash) <=
+                 floor(0.2::DOUBLE * count(*) OVER (PARTITION BY will_fail) + 0.5) AS BIGINT) AS is_test,
+         CAST('0x' || substr(fold_hash, 1, 8) AS BIGINT) % 3 AS fold
+  FROM cut_rows)
+"""
+_GRID = ", ".join(
+    f"({8 * a + 4 * b + 2 * c + d}, {t}, {x}, {r}::DOUBLE, {m})"
+    for a, t in enumerate((50, 100)) for b, x in enumerate((3, 5)) for c, r in enumerate((0.1, 0.2)) for d, m in enumerate((5, 10))
+)
+_NEW_ROWS = "(SELECT *, {extra} FROM ml_table WHERE hour_bucket > TIMESTAMP '2024-01-20 00:00:00')"
+
+# What of the trained models does not depend on how their trees came out.
+MODELS = {
+    "gbt_cv_folds": sql(
+        _CUT + """SELECT device_id, hour_bucket, failure_type, severity, CAST(will_fail AS BIGINT) AS will_fail, fold
+                  FROM cut_split WHERE is_test = 0"""
+    ),
+    "gbt_grid_check": sql(
+        _CUT + f"""SELECT candidate::BIGINT AS candidate, trees::BIGINT AS trees, depth::BIGINT AS depth, learning_rate,
+                          min_split_rows::BIGINT AS min_split_rows, (SELECT count(DISTINCT fold) FROM cut_split WHERE is_test = 0) AS fold_areas,
+                          (SELECT count(*) FROM cut_split WHERE is_test = 0) AS scored_rows, 1::BIGINT AS same_area
+                   FROM (VALUES {_GRID}) g(candidate, trees, depth, learning_rate, min_split_rows)"""
+    ),
+    "gbt_metrics_check": sql(
+        _CUT + """SELECT is_test, count(*) AS "rows", CAST(sum(will_fail) AS BIGINT) AS positives, 1::BIGINT AS same_metrics
+                  FROM cut_split GROUP BY is_test"""
+    ),
+    "gbt_predictions_check": _select(
+        _NEW_ROWS.format(extra="1::BIGINT AS sound"), "device_id hour_bucket failure_type severity", "sound", "days_before_failure"
+    ),
+    "gbt_score_new": _select(
+        _NEW_ROWS.format(extra="2::BIGINT AS batches"), "device_id hour_bucket failure_type severity", "batches", "days_before_failure"
+    ),
+}
+
 STREAMS = {
     "bronze_device_master": _select(
         """(SELECT device_id, device_type, location, facility, strftime(installation_date, '%Y-%m-%dT%H:%M:%S.%f') || '.000000' AS installation_date,
@@ -622,4 +662,4 @@ SAME = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**SAME, **TABLES, **CHECKS, **EXPLORE, **LEARNING, **STREAMS}
+    return {**SAME, **TABLES, **CHECKS, **EXPLORE, **LEARNING, **MODELS, **STREAMS}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from plantwatch.functions.bands import flag
 from plantwatch.ml import evaluate, features as prep, split, train as learn
-from plantwatch.ml.score import score, score_new, scoring_input
+from plantwatch.ml.score import ScoredTable, score, scoring_input
 from plantwatch.operators import coherence, profile
 from plantwatch.operators.correlate import correlation_pairs, strong_pairs
 from plantwatch.operators.lookup import BROADCAST_BYTES, latest_snapshot, orphan_keys
@@ -649,22 +649,28 @@ def _(e):
     return evaluate.roc_auc(_training(e).withColumn("score", F.coalesce(gap, F.round("avg_temperature", 6))))
 
 
-QUICK = learn.BoostParams(trees=20)
+def _until_cutoff(e: Entities) -> DataFrame:
+    """The learning table as it stood when the model was trained."""
+    return _training(e).filter(F.col("hour_bucket") <= F.lit(CUTOFF).cast("timestamp"))
 
 
 @lru_cache(maxsize=2)
-def _trained(application: str, folder: str, rows: tuple[int, ...]) -> tuple[learn.Trained, str]:
-    """One small model per folder and its row counts, saved; shared by the queries that look at it."""
+def _trained(application: str, folder: str, rows: int, content: str) -> tuple[learn.Trained, str]:
+    """The full search over one folder's rows, saved; shared by the queries that look at it."""
     spark = SparkSession.active()
-    trained = learn.train(_stored_training(entities(spark, folder)), QUICK)
+    stored = materialise(_until_cutoff(entities(spark, folder)), "training")
+    trained = learn.train(stored, candidates=learn.expand_grid())
     path = fresh_path(spark, "model")
     trained.save(path)
     return trained, path
 
 
 def _model(e: Entities) -> tuple[learn.Trained, str]:
-    rows = tuple(e._read(name).count() for name in ("customer", "events", "orders"))
-    return _trained(e.spark.sparkContext.applicationId, e.folder, rows)
+    # The digest of all rows tells whether the tables are still those the model was trained on.
+    rows = _until_cutoff(e)
+    digest = F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")).cast("string")
+    seen = rows.agg(F.count("*").alias("n"), digest.alias("content")).first()
+    return _trained(e.spark.sparkContext.applicationId, e.folder, seen["n"], seen["content"])
 
 
 @query("gbt_metrics")
@@ -682,19 +688,78 @@ def _(e):
     return score(_model(e)[0].model, scoring_input(_ml_table(e), CUTOFF))
 
 
+@query("gbt_predictions_check")
+def _(e):
+    """Every row after the cutoff has a probability, and the class that follows from it."""
+    p = F.col("will_fail_probability")
+    sound = p.between(0, 1) & (F.col("will_fail_prediction") == (p >= 0.5).cast("int"))
+    scored = score(_model(e)[0].model, scoring_input(_ml_table(e), CUTOFF))
+    return scored.select(*ROW_KEY, flag(sound).alias("sound"))
+
+
 @query("gbt_score_new")
 def _(e):
-    return score_new(_ml_table(e), _model(e)[1])
+    """The job runs, is repeated, runs over more hours and is repeated: two batches, each row once."""
+    table, (_, path) = ScoredTable(e.spark, fresh_path(e.spark, "scored")), _model(e)
+    rows = _ml_table(e)
+    first = F.col("hour_bucket") <= F.lit(CUTOFF).cast("timestamp") + F.expr("INTERVAL 4 DAYS")
+    runs = [table.append(part, path) for part in (rows.filter(first), rows.filter(first), rows, rows)]
+    added = F.lit(sum(n > 0 for n in runs))
+    return table.read().select(*ROW_KEY, added.alias("batches"))
 
 
 @query("gbt_grid_cv")
 def _(e):
-    grid = {"trees": (5, 10), "depth": (3,), "learning_rate": (0.1, 0.2), "min_split_rows": (5,)}
-    ranked = learn.grid_search(_stored_training(e), learn.expand_grid(grid))
+    """All candidates over all folds, best first."""
+    columns = ("candidate", "trees", "depth", "learning_rate", "min_split_rows", "folds", "auc")
     return e.spark.createDataFrame(
-        [(r["trees"], r["depth"], r["learning_rate"], r["min_split_rows"], r["auc"]) for r in ranked],
-        "trees int, depth int, learning_rate double, min_split_rows int, auc double",
+        [tuple(r[c] for c in columns) for r in _model(e)[0].fitted.ranking],
+        "candidate int, trees int, depth int, learning_rate double, min_split_rows int, folds int, auc double",
+    )
+
+
+@query("gbt_grid_check")
+def _(e):
+    """The grid, with what its stored held-out scores say: rows, folds, and the mean area again."""
+    fitted = _model(e)[0].fitted
+    per_fold = evaluate.roc_auc_by(fitted.scores, ["candidate", "fold"], "label")
+    again = per_fold.groupBy("candidate").agg(F.avg("roc_auc").alias("again"), F.count("*").alias("fold_areas"))
+    rows = fitted.scores.groupBy("candidate").agg(F.count("*").alias("scored_rows"))
+    ranked = e.spark.createDataFrame(
+        [(r["candidate"], r["trees"], r["depth"], r["learning_rate"], r["min_split_rows"], r["auc"]) for r in fitted.ranking],
+        "candidate int, trees int, depth int, learning_rate double, min_split_rows int, auc double",
+    )
+    same = F.abs(F.col("auc") - F.col("again")) < 1e-9
+    return ranked.join(again, "candidate").join(rows, "candidate").select(
+        "candidate", "trees", "depth", "learning_rate", "min_split_rows", "fold_areas", "scored_rows",
+        flag(same).alias("same_area"),
+    )
+
+
+@query("gbt_cv_folds")
+def _(e):
+    """The held-out fold of every training row, as stored with the scores of the first candidate."""
+    scores = _model(e)[0].fitted.scores.filter("candidate = 0")
+    return scores.select("device_id", "hour_bucket", "failure_type", "severity", F.col("label").alias("will_fail"), "fold")
+
+
+@query("gbt_metrics_check")
+def _(e):
+    """Both sides' rows and positives, and whether their stored predictions give the metrics again."""
+    trained = _model(e)[0]
+    y, p = F.col(prep.LABEL), F.col("prediction")
+    tp, called, actual = F.sum(y * p), F.sum(p), F.sum(y)
+    again = trained.predictions.groupBy("is_test").agg(
+        F.count("*").alias("rows"), actual.alias("positives"),
+        F.avg((y == p).cast("double")).alias("accuracy"),
+        F.coalesce(tp / F.when(called != 0, called), F.lit(0.0)).alias("precision"),
+        F.coalesce(tp / F.when(actual != 0, actual), F.lit(0.0)).alias("recall"),
     )
+    same = F.lit(True)
+    for name in ("accuracy", "precision", "recall"):
+        kept = F.when(F.col("is_test") == 1, trained.metrics[f"test_{name}"]).otherwise(trained.metrics[f"train_{name}"])
+        same = same & (F.abs(F.col(name) - kept) < 1e-9)
+    return again.select("is_test", "rows", "positives", flag(same).alias("same_metrics"))
 
 
 # ---- landing files and streams ------------------------------------------------------------

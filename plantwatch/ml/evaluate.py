@@ -82,19 +82,26 @@ def classification_report(df: DataFrame, label: str = "will_fail", prediction: s
 def roc_auc(df: DataFrame, label: str = "will_fail", score: str = "score") -> DataFrame:
     """Area under the ROC curve as the rank statistic, ties counting half (one row).
 
-    Rows shrink to one per distinct score before anything is ordered; that table is stored, as
-    bucket limits, bucket totals and running sums each read it. Rows whose score or label is
-    missing or NaN have no rank: they are left out and counted in ``unscored``.
+    Rows shrink to one per distinct score before anything is ordered; that table is stored. Rows
+    whose score or label is missing or NaN have no rank: they are left out and counted in
+    ``unscored``.
     """
+    return roc_auc_by(df, [], label, score)
+
+
+def roc_auc_by(df: DataFrame, groups: list[str], label: str = "will_fail", score: str = "score") -> DataFrame:
+    """``roc_auc`` of every group, all in one go; groups must have no gaps."""
     known = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull()
     usable = F.coalesce(known, F.lit(False))
-    unscored = df.where(~usable).count()
-    counts = materialise(df.where(usable).groupBy(F.col(score).cast("double").alias("score")).agg(
-        _count(F.col(label) == 1).alias("pos"), _count(F.col(label) == 0).alias("neg")
+    counts = materialise(df.groupBy(*groups, F.when(usable, F.col(score).cast("double")).alias("score")).agg(
+        _count(usable & (F.col(label) == 1)).alias("pos"), _count(usable & (F.col(label) == 0)).alias("neg"),
+        _count(~usable).alias("unscored"),
     ), "scores")
-    ranked = exclusive_running_sum(counts, "score", "neg", "neg_below")
+    ranked = exclusive_running_sum(counts.filter("score IS NOT NULL"), "score", "neg", "neg_below", tuple(groups))
+    gaps = counts.filter("score IS NULL").withColumn("neg_below", F.lit(0).cast("long"))
     wins = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / F.lit(2.0)))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return ranked.agg(
-        (wins / F.when(pairs != 0, pairs)).alias("roc_auc"), F.lit(unscored).cast("long").alias("unscored")
+    return ranked.unionByName(gaps).groupBy(*groups).agg(
+        (wins / F.when(pairs != 0, pairs)).alias("roc_auc"),
+        F.coalesce(F.sum("unscored"), F.lit(0)).cast("long").alias("unscored"),
     )

@@ -5,18 +5,17 @@ from __future__ import annotations
 import itertools
 import json
 import logging
+import uuid
 from dataclasses import asdict, dataclass, field
-from multiprocessing.pool import ThreadPool
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plantwatch.ml.evaluate import classification_metrics, roc_auc
-from plantwatch.ml.features import LABEL, TIME, ColumnScaler, FeaturePrep, with_row
+from plantwatch.ml import boost
+from plantwatch.ml.evaluate import classification_metrics, roc_auc, roc_auc_by
+from plantwatch.ml.features import LABEL, ROW, TIME, FeaturePrep, FeaturePrepModel, with_row
 from plantwatch.ml.split import KEYS, class_weights, stratified_folds, stratified_split
 from plantwatch.session import materialise
 
@@ -30,19 +29,6 @@ class BoostParams:
     depth: int = 3
     learning_rate: float = 0.1
     min_split_rows: int = 2
-    seed: int = 42
-
-    def classifier(self) -> GBTClassifier:
-        return GBTClassifier(
-            featuresCol="features",
-            labelCol=LABEL,
-            maxIter=self.trees,
-            maxDepth=self.depth,
-            stepSize=self.learning_rate,
-            # The nearest setting: a node splits only if both halves hold half the rows asked for.
-            minInstancesPerNode=max(1, -(-self.min_split_rows // 2)),
-            seed=self.seed,
-        )
 
 
 GRID = {
@@ -57,59 +43,91 @@ def expand_grid(grid: dict[str, tuple] = GRID) -> list[BoostParams]:
     return [BoostParams(**dict(zip(grid, values))) for values in itertools.product(*grid.values())]
 
 
-def prepare(train: DataFrame, handle_invalid: str = "error") -> PipelineModel:
-    """Fit preparation, robust scaling and assembly on the training rows."""
-    prep = FeaturePrep(handleInvalid=handle_invalid).fit(train)
-    prepared = materialise(prep.transform(train), "prepared")
-    scaler = ColumnScaler(kind="robust", inputCols=prep.features).fit(prepared)
-    assembler = VectorAssembler(inputCols=prep.features, outputCol="features")
-    return PipelineModel([prep, scaler, assembler])
-
-
-def matrix(prepared: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Feature vectors and label, written once for the many passes of boosting."""
-    return materialise(prepared.transform(rows).select("features", LABEL), "matrix")
-
-
-def with_scores(predicted: DataFrame) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
-    return predicted.withColumn("score", vector_to_array("probability")[1])
-
-
-def grid_search(
-    train: DataFrame,
-    candidates: list[BoostParams],
-    folds: int = 3,
-    keys: tuple[str, ...] = KEYS,
-    parallelism: int = 4,
-) -> list[dict]:
-    """Mean ROC-AUC of every candidate over stratified folds, best first.
-
-    Preparation does not depend on the candidates, so it is fitted once per fold and never on
-    the fold's validation rows. Folds, then fits, run ``parallelism`` at a time.
+@dataclass
+class Fitted:
+    """Models grown side by side: candidates on every fold, and each once on all rows."""
+
+    ensemble: boost.Ensemble
+    preps: list[FeaturePrepModel]
+    edges: list[list[list[float]]]
+    growths: list[boost.Growth]
+    scores: DataFrame | None
+    ranking: list[dict]
+
+    def model(self, params: BoostParams) -> tuple[PipelineModel, list[tuple[str, float]]]:
+        """The pipeline of one candidate, fitted to all rows, and its feature importances."""
+        view = len(self.preps) - 1
+        m = self.growths.index(_growth(params, view, None))
+        names = self.preps[view].features
+        trees = boost.BoostedTreesModel.of(self.ensemble, m, params.trees, names, self.edges[view])
+        return PipelineModel([self.preps[view], trees]), boost.importances(self.ensemble, m, params.trees, names)
+
+
+def _growth(p: BoostParams, view: int, without: int | None) -> boost.Growth:
+    return boost.Growth(view, without, p.depth, p.learning_rate, p.min_split_rows)
+
+
+def _views(rows: DataFrame, preps: list[FeaturePrepModel]) -> DataFrame:
+    """The rows with one array column per preparation, its features in order."""
+    columns = list(rows.columns)
+    for v, prep in enumerate(preps):
+        features = F.array(*[F.col(c) for c in prep.features]).alias(f"view{v}")
+        rows = prep.transform(with_row(rows)).select(features, f"{ROW}.*").select(*columns, f"view{v}")
+        columns.append(f"view{v}")
+    return rows
+
+
+def fit_candidates(
+    train: DataFrame, candidates: list[BoostParams], folds: int = 3, keys: tuple[str, ...] = KEYS
+) -> Fitted:
+    """Fit every candidate to all rows, and for ``folds`` > 0 to all folds but one.
+
+    Preparation is fitted anew for each fold, never on the fold's held-out rows; a category seen
+    there only gets a code of its own. Held-out scores of every candidate are stored, and the
+    candidates ranked by their mean area under the curve over the folds.
     """
-    folded = stratified_folds(train, LABEL, keys, folds)
-    scores: dict[BoostParams, list[float]] = {c: [] for c in candidates}
-
-    def fold(k: int) -> tuple[DataFrame, DataFrame]:
-        fit_rows = folded.filter(F.col("fold") != k).drop("fold")
-        check_rows = folded.filter(F.col("fold") == k).drop("fold")
-        prepared = prepare(fit_rows, handle_invalid="keep")
-        return matrix(prepared, fit_rows), matrix(prepared, check_rows)
-
-    def auc(task: tuple[BoostParams, tuple[DataFrame, DataFrame]]) -> float:
-        params, (fit_matrix, check_matrix) = task
-        predicted = params.classifier().fit(fit_matrix).transform(check_matrix)
-        return roc_auc(with_scores(predicted)).first()["roc_auc"]
-
-    with ThreadPool(parallelism) as pool:
-        matrices = pool.map(fold, range(folds))
-        tasks = [(c, m) for c in candidates for m in matrices]
-        for (params, _), value in zip(tasks, pool.map(auc, tasks, chunksize=1)):
-            scores[params].append(value)
-    ranked = [{**asdict(c), "auc": sum(v) / len(v)} for c, v in scores.items()]
-    return sorted(ranked, key=lambda r: -r["auc"])
+    folded = materialise(stratified_folds(train, LABEL, keys, folds) if folds else train.withColumn("fold", F.lit(0)), "folds")
+    held = [folded.filter(F.col("fold") != k).drop("fold") for k in range(folds)]
+    preps = [FeaturePrep(handleInvalid="keep").fit(rows) for rows in (*held, folded.drop("fold"))]
+    views = [f"view{v}" for v in range(len(preps))]
+    wide = materialise(_views(folded, preps), "views")
+    edges = []
+    for v, prep in enumerate(preps):
+        fit = wide.filter(F.col("fold") != v) if v < folds else wide
+        named = fit.select(*[F.col(f"view{v}")[j].alias(str(j)) for j in range(len(prep.features))])
+        edges.append(boost.bin_edges(named, named.columns))
+
+    last = len(preps) - 1
+    growths = list(dict.fromkeys(
+        _growth(c, view, view if view < last else None) for view in range(len(preps)) for c in candidates
+    ))
+    counts = {(r["fold"], int(r[LABEL])): r["count"] for r in folded.groupBy("fold", LABEL).count().collect()}
+    most = max(c.trees for c in candidates)
+    ensemble = boost.Ensemble(growths, [len(p.features) for p in preps], most, boost.start_margins(counts, growths))
+    blocks = materialise(boost.pack(wide, LABEL, "fold", views, edges, list(keys)), "blocks")
+    lengths = tuple(sorted({c.trees for c in candidates})) if folds else ()
+    stored = boost.grow_all(blocks, ensemble, most, lengths)
+    if not folds:
+        return Fitted(ensemble, preps, edges, growths, None, [])
+
+    wanted = [
+        (n, m, growths.index(m), c.trees) for n, c in enumerate(candidates) for k in range(folds)
+        for m in [_growth(c, k, k)]
+    ]
+    names = train.sparkSession.createDataFrame([(n, m, t) for n, _, m, t in wanted], "candidate int, model int, trees int")
+    scored = None
+    for trees, frame in stored.items():
+        part = boost.held_out_scores(frame, ensemble, trees)
+        scored = part if scored is None else scored.unionByName(part)
+    # One row per candidate and fold.
+    scores = materialise(scored.join(F.broadcast(names), ["model", "trees"]).select(
+        "keys.*", "candidate", "fold", "label", "score"), "cv-scores")
+    areas = roc_auc_by(scores, ["candidate", "fold"], "label").collect()
+    ranking = []
+    for n, c in enumerate(candidates):
+        own = [r["roc_auc"] for r in areas if r["candidate"] == n and r["roc_auc"] is not None]
+        ranking.append({"candidate": n, **asdict(c), "folds": len(own), "auc": sum(own) / len(own) if own else 0.0})
+    return Fitted(ensemble, preps, edges, growths, scores, sorted(ranking, key=lambda r: (-r["auc"], r["candidate"])))
 
 
 @dataclass
@@ -121,6 +139,8 @@ class Trained:
     metrics: dict[str, float]
     weights: dict[str, float]
     importances: list[tuple[str, float]] = field(default_factory=list)
+    fitted: Fitted | None = None
+    predictions: DataFrame | None = None
 
     def importance_table(self, spark: SparkSession, top: int | None = None) -> DataFrame:
         """Features by importance, largest first; one row per feature column."""
@@ -135,6 +155,7 @@ class Trained:
         self.model.write().overwrite().save(f"{path}/stages")
         spark = SparkSession.active()
         facts = json.dumps({
+            "model_id": uuid.uuid4().hex,
             "params": asdict(self.params),
             "tuning": self.tuning,
             "latest_training_hour_bucket": self.cutoff,
@@ -155,7 +176,6 @@ def train(
     params: BoostParams = BoostParams(),
     candidates: list[BoostParams] | None = None,
     keys: tuple[str, ...] = KEYS,
-    parallelism: int = 4,
 ) -> Trained:
     """Split, optionally search, fit on the training side and evaluate on both sides.
 
@@ -167,33 +187,33 @@ def train(
     weights = {str(r[LABEL]): r["weight"] for r in class_weights(train_rows, LABEL).collect()}
     cutoff = training_cutoff(rows).first()["cutoff"]
 
-    tuning, search_auc = "default_params", None
+    fitted, tuning, metrics = None, "default_params", {}
     if candidates:
         try:
-            best = grid_search(train_rows, candidates, keys=keys, parallelism=parallelism)[0]
-            search_auc = best.pop("auc")
-            params, tuning = BoostParams(**best), "grid_search"
+            fitted = fit_candidates(train_rows, candidates, keys=keys)
+            best = fitted.ranking[0]
+            metrics["cv_auc"] = best["auc"]
+            params, tuning = candidates[best["candidate"]], "grid_search"
         except (PySparkException, Py4JError, ValueError):
             log.exception("search failed, fitting %s", params)
-
-    # A category seen only among the test rows gets a code of its own instead of failing.
-    prepared = prepare(train_rows, handle_invalid="keep")
-    train_matrix, test_matrix = matrix(prepared, train_rows), matrix(prepared, test_rows)
-    classifier = params.classifier().fit(train_matrix)
-    metrics = {} if search_auc is None else {"cv_auc": search_auc}
-    for side, data in (("train", train_matrix), ("test", test_matrix)):
-        predicted = with_scores(classifier.transform(data))
+            fitted = None
+    if fitted is None:
+        fitted = fit_candidates(train_rows, [params], folds=0, keys=keys)
+    model, ranked = fitted.model(params)
+
+    predictions = None
+    for side, data in (("train", train_rows), ("test", test_rows)):
+        predicted = materialise(predict(model, data), "predicted")
         row = classification_metrics(predicted).first()
         metrics.update({f"{side}_{m}": float(row[m]) for m in ("accuracy", "precision", "recall", "f1")})
         if side == "test":
             value = roc_auc(predicted).first()["roc_auc"]
             if value is not None:
                 metrics["test_auc"] = value
-    names = prepared.stages[0].features
-    ranked = sorted(zip(names, map(float, classifier.featureImportances.toArray())), key=lambda x: (-x[1], x[0]))
+        tagged = predicted.withColumn("is_test", F.lit(int(side == "test")))
+        predictions = tagged if predictions is None else predictions.unionByName(tagged)
     return Trained(
-        PipelineModel([*prepared.stages, classifier]),
-        params, tuning, cutoff.isoformat() if cutoff else None, metrics, weights, ranked,
+        model, params, tuning, cutoff.isoformat() if cutoff else None, metrics, weights, ranked, fitted, predictions,
     )
 
 
@@ -204,5 +224,4 @@ def training_cutoff(rows: DataFrame) -> DataFrame:
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Original columns with ``prediction`` and the positive-class ``score``."""
-    predicted = with_scores(model.transform(with_row(rows)))
-    return predicted.select("_row.*", F.col("prediction").cast("int").alias("prediction"), "score")
+    return model.transform(with_row(rows)).select(f"{ROW}.*", "prediction", "score")

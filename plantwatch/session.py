@@ -66,3 +66,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch frame that a newer one replaces; only paths from ``fresh_path``."""
+    if not path.startswith(f"{shared_folder(spark)}/plantwatch/"):
+        raise ValueError(f"not a scratch path: {path}")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -10,8 +10,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from plantwatch.catalog import queries as catalog
-from plantwatch.ml import evaluate, features as prep, split, train as learn
-from plantwatch.ml.score import score_new, scoring_input
+from plantwatch.ml import boost, evaluate, features as prep, split, train as learn
+from plantwatch.ml.score import ScoredTable, score_new, scoring_input
+from plantwatch.operators.ranks import exclusive_running_sum
 from plantwatch.schemas import ML_FEATURES_DDL
 
 
@@ -157,6 +158,8 @@ def test_train_save_score(spark, rows, tmp_path):
     trained.save(path)
     model, facts = learn.load(spark, path)
     assert isinstance(model, PipelineModel) and facts["latest_training_hour_bucket"] == trained.cutoff
+    same = learn.predict(model, rows).select("score").exceptAll(learn.predict(trained.model, rows).select("score"))
+    assert same.count() == 0
     first = rows.agg(F.min("hour_bucket").alias("m")).first().m
     later = rows.withColumn("hour_bucket", F.col("hour_bucket") + F.expr("INTERVAL 40 DAYS"))
     fresh = score_new(later, path)
@@ -170,8 +173,125 @@ def test_train_save_score(spark, rows, tmp_path):
     score_new(later, path, output="predictions_log", scored=spark.read.table("predictions_log"))
     assert spark.read.table("predictions_log").count() == fresh.count()
 
+    # The ledger: half a batch is written over, a repeated job adds nothing, late rows are found.
+    table = ScoredTable(spark, str(tmp_path / "scored"))
+    assert table.read() is None
+    wanted = scoring_input(later, facts["latest_training_hour_bucket"])
+    keys = wanted.select("device_id", "hour_bucket").distinct().orderBy("hour_bucket", "device_id").collect()
+    late, middle = keys[0], keys[len(keys) // 2].hour_bucket
+    is_late = (F.col("device_id") == late.device_id) & (F.col("hour_bucket") == late.hour_bucket)
+    early = later.filter((F.col("hour_bucket") <= F.lit(middle)) & ~is_late)
+    n = table.append(early, path)
+    assert n == wanted.filter((F.col("hour_bucket") <= F.lit(middle)) & ~is_late).count()
+    fresh.limit(3).write.parquet(str(tmp_path / "scored" / "batches" / "broken"))
+    assert table.append(early, path) == 0 and table.read().count() == n
+    assert n + table.append(later, path) == fresh.count()
+    assert table.append(later, path) == 0 and table.ledger().count() == 2
+    assert table.read().select("device_id", "hour_bucket").exceptAll(fresh.select("device_id", "hour_bucket")).count() == 0
+
+
+def test_a_failed_search_falls_back(rows, monkeypatch):
+    def broken(*args, **kwargs):
+        raise ValueError("no areas today")
+
+    monkeypatch.setattr(learn, "roc_auc_by", broken)
+    trained = learn.train(rows, learn.BoostParams(trees=2, depth=2), candidates=[learn.BoostParams(trees=1)])
+    assert trained.tuning == "default_params" and trained.params == learn.BoostParams(trees=2, depth=2)
+    assert "cv_auc" not in trained.metrics and trained.fitted.scores is None
+
 
 def test_grid():
     grid = learn.expand_grid()
     assert len(grid) == 16 and len(set(grid)) == 16
-    assert learn.BoostParams(min_split_rows=5).classifier().getMinInstancesPerNode() == 3
+
+
+def _plain_boosting(bins, y, trees, depth, rate, least):
+    """Boosted trees over binned columns, one row and one split at a time."""
+    start = math.log(y.sum() / (len(y) - y.sum()))
+    margin = np.full(len(y), start)
+    for _ in range(trees):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = y - p, p * (1 - p)
+        step = np.zeros(len(y))
+
+        def grow(rows, level):
+            step[rows] = g[rows].sum() / h[rows].sum()
+            best = (1e-12, None, None)
+            if level == depth or len(rows) < least:
+                return
+            for f in range(bins.shape[1]):
+                for cut in range(bins[rows, f].max()):
+                    low = bins[rows, f] <= cut
+                    n = low.sum()
+                    if n and n < len(rows):
+                        a, b = g[rows[low]].mean(), g[rows[~low]].mean()
+                        gain = round(n * (len(rows) - n) / len(rows) * (a - b) ** 2, 9)
+                        if gain > best[0]:
+                            best = (gain, f, cut)
+            if best[1] is not None:
+                low = bins[rows, best[1]] <= best[2]
+                grow(rows[low], level + 1)
+                grow(rows[~low], level + 1)
+
+        grow(np.arange(len(y)), 0)
+        margin += rate * step
+    return margin
+
+
+def test_boosting_side_by_side_equals_each_model_alone(spark, monkeypatch):
+    monkeypatch.setattr(boost, "CHECKPOINT", 2)
+    rng = np.random.default_rng(3)
+    n = 300
+    x = np.round(rng.normal(size=(n, 3)), 1)
+    y = ((x[:, 0] > 0.3) ^ (x[:, 1] > 0) ^ (rng.random(n) < 0.1)).astype(int)
+    fold = rng.integers(0, 2, n)
+    df = spark.createDataFrame(
+        [(int(i), int(a), int(f), [float(c) for c in r]) for i, (a, f, r) in enumerate(zip(y, fold, x))],
+        "id int, y int, fold int, x array<double>",
+    ).repartition(3)
+    edges = boost.bin_edges(df.select(*[F.col("x")[j].alias(str(j)) for j in range(3)]), ["0", "1", "2"], bins=8)
+    growths = [boost.Growth(0, 0, 3, 0.3, 5), boost.Growth(0, 1, 2, 0.1, 20), boost.Growth(0, None, 4, 0.2, 2)]
+    counts = {(k, c): int(((fold == k) & (y == c)).sum()) for k in (0, 1) for c in (0, 1)}
+    ensemble = boost.Ensemble(growths, [3], 5, boost.start_margins(counts, growths))
+    from plantwatch.session import materialise
+
+    blocks = materialise(boost.pack(df, "y", "fold", ["x"], [edges], ["id"]), "blocks")
+    kept = boost.grow_all(blocks, ensemble, 5, (3, 5))
+    bins = boost.binned(x, edges)
+    for trees, frame in kept.items():
+        scores = {(r.model, r["keys"].id): r.score for r in boost.held_out_scores(frame, ensemble, trees).collect()}
+        for m, k in ((0, 0), (1, 1)):
+            g = growths[m]
+            fit = fold != k
+            # Rows left out take the trees' values, so grow on the fitted and read off the others' bins.
+            alone = boost.Ensemble([boost.Growth(0, None, g.depth, g.learning_rate, g.min_split_rows)], [3], trees,
+                                   [ensemble.starts[m]])
+            alone.trees = [ensemble.trees[m]]
+            margins = alone.margins({"label": y, "margins": None, "bins": [bins]}, trees)[0]
+            assert np.allclose(margins[fit], _plain_boosting(bins[fit], y[fit], trees, g.depth, g.learning_rate, g.min_split_rows))
+            assert all(math.isclose(scores[m, i], 1 / (1 + math.exp(-margins[i]))) for i in np.flatnonzero(~fit))
+    whole = ensemble.margins({"label": y, "margins": None, "bins": [bins]}, 0)  # trees are stored, starts only
+    assert np.allclose(whole[2], ensemble.starts[2])
+
+
+def test_running_sums_over_a_tree_of_bits(spark):
+    rng = np.random.default_rng(2)
+    values = sorted({*rng.normal(size=300), *(-1e300, -5e-324, 0.0, 5e-324, 1e300, float("inf"), float("-inf"), 1.0)})
+    df = spark.createDataFrame([(g, float(v), i) for g in (1, 2) for i, v in enumerate(values[:: g])], "g int, v double, n long")
+    got = {(r.g, r.v): r.below for r in exclusive_running_sum(df, "v", "n", "below", ("g",)).collect()}
+    for g in (1, 2):
+        total = 0
+        for i, v in enumerate(values[::g]):
+            assert got[g, v] == total
+            total += i
+
+
+def test_auc_of_many_groups(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(g), int(rng.integers(0, 2)), 0, float(np.round(rng.normal(), 1))) for g in rng.integers(0, 4, 400)]
+    df = spark.createDataFrame(rows, "g int, will_fail int, prediction int, score double")
+    areas = {r.g: r.roc_auc for r in evaluate.roc_auc_by(df, ["g"]).collect()}
+    for g in range(4):
+        assert math.isclose(areas[g], evaluate.roc_auc(df.filter(F.col("g") == g)).first().roc_auc, rel_tol=1e-12)
+    empty = evaluate.roc_auc(df.limit(0)).first()
+    assert empty.roc_auc is None and empty.unscored == 0
