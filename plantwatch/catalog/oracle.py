@@ -417,11 +417,6 @@ EXPLORE = {
     ),
 }
 
-_INDICATORS = ", ".join(
-    f"CAST(device_type = '{t}' AS DOUBLE) AS \"is_{t}\"" for t in TYPE_CLASSES
-)
-
-
 def _features(source: str, digits: int = 8) -> str:
     cols = ", ".join(f"round({c}, {digits}) AS {c}" for c in FEATURES)
     return sql(f"SELECT device_id, hour_bucket, failure_type, severity, round(days_before_failure, 8) AS days_before_failure, {cols} FROM {source}")
@@ -483,6 +478,12 @@ _PER_CLASS = """, per_class AS (
                count(*) FILTER (WHERE will_fail = c) AS support, CAST(count(*) FILTER (WHERE predicted = c) AS DOUBLE) AS called
         FROM scored, (VALUES (0), (1)) v(c) GROUP BY c))"""
 
+_INDICATOR_ROWS = """, indicator_rows AS (
+  SELECT r.device_id, hour_bucket, failure_type, severity, days_before_failure, 'is_' || t.device_type AS indicator,
+         CAST(r.device_type = t.device_type AS DOUBLE) AS value
+  FROM ml_clipped r, (SELECT DISTINCT device_type FROM ml_clipped) t)
+"""
+
 LEARNING = {
     "training_input": _select("training_rows", _ML_PLAIN, _ML_INTS, _ML_NUMS),
     "ml_imputed": sql(
@@ -507,7 +508,15 @@ LEARNING = {
         f"count(*) - count({c}) AS missing, count(*) FILTER (WHERE isinf(CAST({c} AS DOUBLE))) AS infinite, "
         f"CAST(count(DISTINCT {c}) <= 1 AS BIGINT) AS constant FROM ml_clipped"
         for c in FEATURES + ("will_fail",)
-    )),
+    ) + """ UNION ALL SELECT 'is_' || device_type, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT,
+                             CAST(count(*) = (SELECT count(*) FROM ml_clipped) AS BIGINT) FROM ml_clipped GROUP BY device_type"""),
+    "ml_indicators": sql(_INDICATOR_ROWS + "SELECT device_id, hour_bucket, failure_type, severity, round(days_before_failure, 8) AS days_before_failure, indicator, value FROM indicator_rows"),
+    "ml_indicators_scaled": sql(
+        _INDICATOR_ROWS + """SELECT device_id, hour_bucket, failure_type, severity, round(days_before_failure, 8) AS days_before_failure,
+                                    indicator, round((value - q2) / CASE WHEN q3 = q1 THEN 1 ELSE q3 - q1 END, 8) AS value
+        FROM indicator_rows JOIN (SELECT indicator, quantile_cont(value, 0.25) AS q1, median(value) AS q2, quantile_cont(value, 0.75) AS q3
+                                  FROM indicator_rows GROUP BY 1) USING (indicator)"""
+    ),
     "stratified_split": sql(
         "SELECT device_id, hour_bucket, failure_type, severity, round(days_before_failure, 8) AS days_before_failure, "
         "CAST(will_fail AS BIGINT) AS will_fail, CAST(is_test AS BIGINT) AS is_test FROM split"

@@ -528,20 +528,44 @@ def _(e):
 @query("ml_encoded")
 def _(e):
     rows = _stored_training(e)
-    vocabulary = prep.FeaturePrep().fit(rows).learned()["vocabulary"]
-    encoded = prep.encode_categories(rows, vocabulary)
+    model = prep.FeaturePrep().fit(rows)
+    types = model.learned()["types"]
+    encoded = prep.encode_categories(rows, model.dictionary, types)
     present = [c for c in encoded.columns if c.endswith("_encoded")]
-    plain = [f"is_{t}" for t in vocabulary["device_type"] if t == t.strip().lower()]
+    plain = [f"is_{t}" for t in types if t == t.strip().lower()]  # the others differ from table to table
     return encoded.select("device_id", "hour_bucket", *present, *plain)
 
 
+def _indicator_rows(df: DataFrame, types: list[str]) -> DataFrame:
+    """One row per learning row and device type, whatever types the tables hold."""
+    values = F.array(*[
+        F.struct(F.lit(f"is_{t}").alias("indicator"), F.col(f"`is_{t}`").cast("double").alias("value")) for t in types
+    ])
+    return _by_key(df, F.inline(values))
+
+
+@query("ml_indicators")
+def _(e):
+    model, prepared = _prepared(e)
+    return _indicator_rows(prepared, model.learned()["types"])
+
+
+@query("ml_indicators_scaled")
+def _(e):
+    model, prepared = _prepared(e)
+    types = model.learned()["types"]
+    stored = materialise(prepared, "prepared")
+    scaler = prep.ColumnScaler(kind="robust", inputCols=[f"is_{t}" for t in types]).fit(stored)
+    return _indicator_rows(scaler.transform(stored), types)
+
+
 @query("ml_derived")
 def _(e):
     rows = _stored_training(e)
     model = prep.FeaturePrep().fit(rows)
     s = model.learned()
     filled = prep.fill_medians(prep.time_parts(prep.with_row(rows)), s["medians"])
-    derived = prep.derive(prep.encode_categories(filled, s["vocabulary"]), s["power_threshold"])
+    derived = prep.derive(prep.encode_categories(filled, model.dictionary, s["types"]), s["power_threshold"])
     return _by_key(derived, *[F.col(c).cast("double").alias(c) for c in _base_features(model)])
 
 
@@ -582,7 +606,7 @@ def _(e):
 @query("ml_validation")
 def _(e):
     model, prepared = _prepared(e)
-    return prep.validate_matrix(prepared.select(*_base_features(model), prep.LABEL))
+    return prep.validate_matrix(prepared.select(*[F.col(f"`{c}`") for c in model.features], prep.LABEL))
 
 
 @query("stratified_split")

@@ -9,15 +9,17 @@ fill, removal of identifiers and columns that leak the label.
 from __future__ import annotations
 
 import json
+from dataclasses import asdict
 from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plantwatch.functions.bands import flag, outside, settled
+from plantwatch.operators.dictionary import Dictionary, build_dictionary
 from plantwatch.operators.quantiles import ColumnStats, column_stats, exact_quantiles
 from plantwatch.params import MIN_READINGS, FeatureLimits
 from plantwatch.session import materialise
@@ -44,7 +46,8 @@ BINARY_DERIVED = (
     "high_power_consumption",
     "low_data_quality",
 )
-MAX_CATEGORIES = 100_000
+# One indicator column per device type: beyond this no schema can hold them (indicators=False).
+MAX_INDICATORS = 2_000
 CERTAINLY_MANY = 100
 
 
@@ -79,25 +82,30 @@ def fill_medians(df: DataFrame, medians: dict[str, float]) -> DataFrame:
     })
 
 
-def _code(column: str, classes: list[str], keep_unseen: bool) -> Column:
-    """Position of the category in its sorted vocabulary; an unseen one fails or gets the next code."""
-    text = F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN))
-    codes = F.create_map(*[F.lit(v) for pair in zip(classes, range(len(classes))) for v in pair])
-    found = F.try_element_at(codes, text)
-    if keep_unseen:
-        return F.coalesce(found, F.lit(len(classes)))
-    unseen = F.concat(F.lit(f"unseen value in {column}: "), text)
-    return F.coalesce(found, F.raise_error(unseen).cast("int"))
+def encode_categories(
+    df: DataFrame, dictionary: Dictionary, types: list[str], keep_unseen: bool = False
+) -> DataFrame:
+    """Codes for every category and one indicator per device type; the texts are dropped.
 
-
-def encode_categories(df: DataFrame, vocabulary: dict[str, list[str]], keep_unseen: bool = False) -> DataFrame:
-    """Codes for every category and one indicator per device type; the texts are dropped."""
-    present = {c: v for c, v in vocabulary.items() if c in df.columns}
-    added = {f"{c}_encoded": _code(c, v, keep_unseen) for c, v in present.items()}
-    if "device_type" in present:
-        text = F.coalesce(F.col("device_type"), F.lit(UNKNOWN))
-        added.update({f"is_{v}": flag(text == v) for v in present["device_type"]})
-    return df.withColumns(added).drop(*present)
+    The code is the place of the text in its column's dictionary; an unseen text fails or gets the
+    code after the last.
+    """
+    present = [c for c in CATEGORIES if c in df.columns and c in dictionary.words]
+    kept = [c for c in df.columns if c not in present]
+    known = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)) for c in present})
+    for c in present:
+        known = dictionary.encode(known, c, f"_{c}")
+    codes = []
+    for c in present:
+        code = F.col(f"_{c}").cast("int")
+        if keep_unseen:
+            code = F.coalesce(code, F.lit(dictionary.words[c]))
+        else:
+            unseen = F.concat(F.lit(f"unseen value in {c}: "), F.col(c))
+            code = F.coalesce(code, F.raise_error(unseen).cast("int"))
+        codes.append(code.alias(f"{c}_encoded"))
+    indicators = [flag(F.col("device_type") == t).alias(f"is_{t}") for t in types if "device_type" in present]
+    return known.select(*[F.col(f"`{c}`") for c in kept], *codes, *indicators)
 
 
 def derive(df: DataFrame, power_threshold: float | None, limits: FeatureLimits = FeatureLimits()) -> DataFrame:
@@ -176,11 +184,21 @@ class _State(Params):
 class FeaturePrep(Estimator, _State, DefaultParamsReadable, DefaultParamsWritable):
     """Learns the preparation of the learning table."""
 
+    indicators = Param(Params._dummy(), "indicators", "one column per device type", TypeConverters.toBoolean)
+
     @keyword_only
-    def __init__(self, *, handleInvalid: str = "error"):
+    def __init__(self, *, handleInvalid: str = "error", indicators: bool = True):
         super().__init__()
-        self._setDefault(handleInvalid="error")
-        self._set(handleInvalid=handleInvalid)
+        self._setDefault(handleInvalid="error", indicators=True)
+        self._set(handleInvalid=handleInvalid, indicators=indicators)
+
+    def _types(self, dictionary: Dictionary, dataset: DataFrame) -> list[str]:
+        """The device types, whose names the indicator columns need; not asked for otherwise."""
+        if not self.getOrDefault("indicators") or "device_type" not in dictionary.words:
+            return []
+        if dictionary.words["device_type"] > MAX_INDICATORS:
+            raise ValueError(f"more than {MAX_INDICATORS} device types: use indicators=False, their code stays")
+        return dictionary.head(dataset.sparkSession, "device_type", MAX_INDICATORS)
 
     def _fit(self, dataset: DataFrame) -> "FeaturePrepModel":
         limits = FeatureLimits()
@@ -192,14 +210,18 @@ class FeaturePrep(Estimator, _State, DefaultParamsReadable, DefaultParamsWritabl
         medians = {
             c: q[0] for c, q in exact_quantiles(base, gappy, [0.5], stats=stats).items() if q[0] is not None
         }
-        vocabulary = _vocabulary(base)
+        words = base.select(*[
+            F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias(c) for c in CATEGORIES if c in base.columns
+        ])
+        dictionary = build_dictionary(words, words.columns)
+        types = self._types(dictionary, dataset)
         filled = fill_medians(base, medians)
         threshold = None
         if "avg_power" in filled.columns:
             threshold = exact_quantiles(filled, ["avg_power"], [limits.power_quantile])["avg_power"][0]
         # Stored once: the passes below each read only their columns of it.
-        derived = materialise(derive(encode_categories(filled, vocabulary), threshold), "derived")
-        indicators = tuple(f"is_{v}" for v in vocabulary.get("device_type", []))
+        derived = materialise(derive(encode_categories(filled, dictionary, types), threshold), "derived")
+        indicators = tuple(f"is_{t}" for t in types)
         candidates = numeric_columns(derived, exclude=(LABEL, *LEAKS, *BINARY_DERIVED, *indicators))
         stats = column_stats(derived, candidates)
         wide = columns_with_many_values(derived, candidates, limits.clip_min_distinct, stats)
@@ -214,7 +236,8 @@ class FeaturePrep(Estimator, _State, DefaultParamsReadable, DefaultParamsWritabl
         averages = clipped.agg(*[F.avg(c).alias(c) for c in outputs]).first()
         state = {
             "medians": medians,
-            "vocabulary": vocabulary,
+            "dictionary": asdict(dictionary),
+            "types": types,
             "power_threshold": threshold,
             "bounds": bounds,
             "clip_medians": fills,
@@ -237,10 +260,19 @@ class FeaturePrepModel(Model, _State, DefaultParamsReadable, DefaultParamsWritab
     def features(self) -> list[str]:
         return self.learned()["features"]
 
+    @property
+    def dictionary(self) -> Dictionary:
+        return Dictionary(**self.learned()["dictionary"])
+
+    def with_dictionary(self, path: str) -> "FeaturePrepModel":
+        """The same model with its dictionary copied to ``path``, to be stored with it."""
+        kept = self.dictionary.copied(SparkSession.active(), path)
+        return self.copy({self.state: json.dumps({**self.learned(), "dictionary": asdict(kept)})})
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         s = self.learned()
         df = fill_medians(time_parts(dataset), s["medians"])
-        df = encode_categories(df, s["vocabulary"], self.getOrDefault("handleInvalid") == "keep")
+        df = encode_categories(df, self.dictionary, s["types"], self.getOrDefault("handleInvalid") == "keep")
         df = clip(derive(df, s["power_threshold"]), s["bounds"], s["clip_medians"])
         features = [
             F.coalesce(F.col(c).try_cast("double"), F.lit(s["means"].get(c, 0.0))).alias(c)
@@ -250,20 +282,6 @@ class FeaturePrepModel(Model, _State, DefaultParamsReadable, DefaultParamsWritab
         return df.select(*features, *aside)
 
 
-def _vocabulary(df: DataFrame) -> dict[str, list[str]]:
-    """Sorted distinct texts of each category; refuses a column that is no category at all."""
-    result = {}
-    for c in CATEGORIES:
-        if c not in df.columns:
-            continue
-        values = df.select(F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias(c)).distinct()
-        words = [r[c] for r in values.limit(MAX_CATEGORIES + 1).collect()]
-        if len(words) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has more than {MAX_CATEGORIES} distinct values")
-        result[c] = sorted(words)
-    return result
-
-
 class ColumnScaler(Estimator, _State, DefaultParamsReadable, DefaultParamsWritable):
     """Robust (median, interquartile range) or standard scaling of columns in place.
 

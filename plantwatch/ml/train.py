@@ -152,7 +152,9 @@ class Trained:
 
     def save(self, path: str) -> None:
         """The fitted stages, with cutoff, parameters and metrics beside them."""
-        self.model.write().overwrite().save(f"{path}/stages")
+        prep, *rest = self.model.stages
+        kept = PipelineModel([prep.with_dictionary(f"{path}/dictionary"), *rest])
+        kept.write().overwrite().save(f"{path}/stages")
         spark = SparkSession.active()
         facts = json.dumps({
             "model_id": uuid.uuid4().hex,

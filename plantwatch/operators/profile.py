@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plantwatch.functions.bands import flag
 from plantwatch.functions.statfns import k_squared, k_squared_p_value, percent
-from plantwatch.operators.quantiles import exact_quantiles
+from plantwatch.operators.quantiles import column_stats, exact_quantiles
 from plantwatch.params import SENSORS
 
 
@@ -38,18 +38,13 @@ def readings_in_row(sensors=SENSORS) -> Column:
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles (one row)."""
-    p25, p50, p75 = exact_quantiles(df, [column], [0.25, 0.5, 0.75])[column]
-    c = F.col(column).cast("double")
-    return df.agg(
-        F.count(c).alias("count"),
-        F.avg(c).alias("mean"),
-        F.stddev_samp(c).alias("std"),
-        F.min(c).alias("min"),
-        F.lit(p25).cast("double").alias("p25"),
-        F.lit(p50).cast("double").alias("p50"),
-        F.lit(p75).cast("double").alias("p75"),
-        F.max(c).alias("max"),
+    """Count, mean, sample deviation, extremes and exact quartiles (one row), from two passes."""
+    stats = column_stats(df, [column], moments=True)
+    p25, p50, p75 = exact_quantiles(df, [column], [0.25, 0.5, 0.75], stats)[column]
+    s = stats[column]
+    return df.sparkSession.createDataFrame(
+        [(s.n, s.mean, s.std, s.low, p25, p50, p75, s.high)],
+        "count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double",
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plantwatch.functions.statfns import percent
 from plantwatch.functions.timefns import elapsed_days, elapsed_hours, repair_ts
-from plantwatch.operators.correlate import ordinal_codes
+from plantwatch.operators.correlate import with_ordinal_codes
 from plantwatch.operators.profile import pooled_by, readings_by, readings_in_row
 from plantwatch.params import SENSORS
 
@@ -212,13 +212,10 @@ def device_summary(
         F.avg("cost").alias("avg_maintenance_cost"),
         F.sum("duration_hours").alias("total_maintenance_hours"),
     )
-    joined = devices
+    joined = with_ordinal_codes(devices, list(SUMMARY_CATEGORIES))
     for side in (readings, failed, kept):
         joined = joined.join(side, "device_id", "left")
     joined = joined.fillna(0, list(SUMMARY_NUMBERS))
-    for c in SUMMARY_CATEGORIES:
-        # Adaptive execution broadcasts the codes if they turn out small.
-        joined = joined.join(ordinal_codes(devices, c), c)
     return joined.select("device_id", *SUMMARY_CATEGORIES, *SUMMARY_NUMBERS, *SUMMARY_CODES)
 
 

@@ -35,7 +35,7 @@ def test_features_carry_no_identifier_or_leak(rows, prepared):
     assert all(f.missing == 0 and f.infinite == 0 and f.non_numeric == 0 for f in findings.values())
     assert out.count() == rows.count()
     # 30 columns that do not depend on the device types, and one per type
-    assert len(names) == 29 + len(prepared.learned()["vocabulary"]["device_type"])
+    assert len(names) == 29 + len(prepared.learned()["types"])
 
 
 def test_scoring_one_row_equals_scoring_all(rows, prepared):
@@ -54,7 +54,7 @@ def test_unseen_category(spark, rows, prepared):
         prepared.transform(odd).collect()
     kept = prepared.copy({prepared.handleInvalid: "keep"}).transform(odd).first()
     bounds = prepared.learned()["bounds"].get("location_encoded", [0, math.inf])
-    assert kept.location_encoded == min(len(prepared.learned()["vocabulary"]["location"]), bounds[1])
+    assert kept.location_encoded == min(prepared.learned()["dictionary"]["words"]["location"], bounds[1])
 
 
 def _table(spark, **columns):

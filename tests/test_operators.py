@@ -13,7 +13,8 @@ from plantwatch.functions.statfns import k_squared, k_squared_p_value
 from plantwatch.operators import quantiles
 from plantwatch.operators.coherence import duplicate_rows, key_violations, missing_values
 from plantwatch.operators.correlate import correlation_pairs, strong_pairs
-from plantwatch.operators.lookup import frame_bytes, latest_snapshot, lookup_join, orphan_keys
+from plantwatch.operators.dictionary import Dictionary, build_dictionary
+from plantwatch.operators.lookup import BROADCAST_BYTES, frame_bytes, latest_snapshot, lookup_join, orphan_keys
 from plantwatch.operators.profile import describe, histogram, moments, pooled_by
 from plantwatch.operators.ranks import exclusive_running_sum
 
@@ -88,7 +89,8 @@ def test_all_columns_and_brackets_share_their_passes(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "BRACKET_ROWS", 50)
     one = _jobs(spark, lambda: quantiles.exact_quantiles(df, ["a"], [0.5]))
     many = _jobs(spark, lambda: quantiles.exact_quantiles(df, ["a", "b", "c", "d"], [0.25, 0.5, 0.75]))
-    assert few <= 6 and many <= one + 4
+    # Stages count as jobs where adaptive execution plans them one by one; rounds are what may differ.
+    assert few <= 8 and many <= one + 4
 
 
 @pytest.mark.parametrize("cuts", ["lowest", "highest", "wild"])
@@ -97,18 +99,58 @@ def test_bad_sketches_cost_rounds_and_nothing_else(spark, monkeypatch, cuts):
     df = spark.createDataFrame([(v,) for v in values], "v double")
 
     def poor(frame, scopes):
-        out = {}
-        for k, s in scopes.items():
-            inside = sorted(v for v in values if (s.low < v < s.high if s.open else s.low <= v <= s.high))
-            out[k] = {"lowest": (inside[0],) * 2, "highest": (inside[-1],) * 2, "wild": (inside[0], inside[-1])}[cuts]
-        return out
-
-    monkeypatch.setattr(quantiles, "_cuts", poor)
-    monkeypatch.setattr(quantiles, "BRACKET_ROWS", 40)
+        return {
+            k: {"lowest": (s.low, s.low), "highest": (s.high, s.high), "wild": (s.low, s.high)}[cuts]
+            for k, s in scopes.items()
+        }
+
+    monkeypatch.setattr(quantiles, "_sketched", poor)
+    monkeypatch.setattr(quantiles, "MARGIN", 0.4)
+    monkeypatch.setattr(quantiles, "BRACKET_ROWS", 20)
     got = quantiles.exact_quantiles(df, ["v"], [0.3, 0.5])["v"]
     assert np.allclose(got, np.quantile(values, [0.3, 0.5]), rtol=1e-12)
 
 
+def test_sketches_are_merged_in_two_levels(spark):
+    df = spark.range(0, 5000, 1, 200).select(F.col("id").cast("double").alias("v"))
+    seen = []
+    original = type(df).first
+
+    def first(self):
+        seen.append(self._jdf.queryExecution().optimizedPlan().toString())
+        return original(self)
+
+    type(df).first = first
+    try:
+        stats = quantiles.column_stats(df, ["v"], moments=True)["v"]
+    finally:
+        type(df).first = original
+    assert stats.n == 5000 and (stats.low, stats.high) == (0.0, 4999.0) and math.isclose(stats.mean, 2499.5)
+    assert math.isclose(stats.std, float(np.std(np.arange(5000), ddof=1))) and abs(stats.distinct - 5000) < 250
+    assert "pmod" in seen[0] and seen[0].count("kll_merge_agg_double") == 1 and seen[0].count("kll_sketch_agg_double") == 1
+
+
+def test_dictionary_of_many_words(spark):
+    n = 300_000
+    hot = F.when(F.col("id") % 3 == 0, F.lit("w000000")).otherwise(F.format_string("w%06d", (F.col("id") / 2).cast("int") % n))
+    df = spark.range(0, 2 * n, 1, 6).select(
+        hot.alias("word"), F.when(F.col("id") % 4 > 0, F.concat(F.lit("é"), F.col("id") % 4)).alias("kind"))
+    dictionary = build_dictionary(df, ["word", "kind"])
+    words = sorted(r.word for r in df.select("word").distinct().collect())
+    assert dictionary.words == {"word": len(words), "kind": 3}
+    assert dictionary.head(spark, "word", 5) == words[:5] and dictionary.head(spark, "kind", 9) == ["é1", "é2", "é3"]
+    coded = dictionary.encode(dictionary.encode(df, "word", "code"), "kind", "kind_code")
+    places = {w: i for i, w in enumerate(words)}
+    for r in coded.distinct().collect():
+        assert r.code == places[r.word] and r.kind_code == (None if r.kind is None else int(r.kind[1]) - 1)
+    assert "SinglePartition" not in coded._jdf.queryExecution().executedPlan().toString()
+    large = Dictionary(dictionary.path, dictionary.words, {"word": BROADCAST_BYTES + 1, "kind": 1})
+    shuffled = large.encode(df, "word", "code")
+    assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
+    assert shuffled.exceptAll(dictionary.encode(df, "word", "code")).count() == 0
+    assert build_dictionary(df.limit(0), ["word"]).words == {}
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert quantiles.exact_quantiles(df, ["v"], [0.5]) == {"v": [None]}
