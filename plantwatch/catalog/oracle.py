@@ -640,6 +640,12 @@ STREAMS = {
     "stream_maintenance_analytics": TABLES["maintenance_analytics"],
     "stream_failure_labels": TABLES["failure_labels"],
     "stream_hourly_features": TABLES["device_features_hourly"],
+    # The watermark of the one data batch is an hour before the last reading: hours that end by then are closed by it.
+    "stream_hourly_features_ways": sql(
+        """SELECT count(*) FILTER (WHERE hour_bucket + INTERVAL 1 HOUR <= (SELECT max("timestamp") - INTERVAL 1 HOUR FROM telemetry_clean)) AS closed,
+                  count(*) FILTER (WHERE hour_bucket + INTERVAL 1 HOUR > (SELECT max("timestamp") - INTERVAL 1 HOUR FROM telemetry_clean)) AS drained,
+                  count(*) FILTER (WHERE hour_bucket IS NULL) AS timeless FROM hourly"""
+    ),
     "stream_ml_features": TABLES["predictive_maintenance_features"],
 }
 

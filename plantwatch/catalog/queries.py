@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -838,23 +839,70 @@ def _(e):
     return _run(gold.failure_labels(silver.failures_clean(_arriving(e, "failures"))), "labels")
 
 
+def _health_stream(e: Entities, folder: str) -> DataFrame:
+    readings = ingest(e.spark, folder, "telemetry", streaming=True, multi_line=False)
+    return silver.device_health_metrics(silver.telemetry_clean(readings, e.device_master))
+
+
+def _streamed_hours(e: Entities) -> tuple[DataFrame, DataFrame, int]:
+    """Hours the stream closed, hours of readings it wrote aside for want of a time, closed at first."""
+    folder = _landing(e, "telemetry")
+
+    def drain() -> None:
+        last = _clean(e).agg(F.max("timestamp").alias("t"), F.max_by("device_id", "timestamp").alias("d")).first()
+        if last["t"] is None:
+            return
+        later = (last["t"] + timedelta(hours=4)).isoformat()
+        row = e.spark.createDataFrame([(last["d"], later)], "device_id string, timestamp string")
+        empty = e.telemetry.limit(0)
+        land(empty.drop("device_id", "timestamp").unionByName(row, allowMissingColumns=True), folder, "telemetry")
+
+    written, closed = jobs.run_and_drain(
+        lambda: jobs.hourly_features_stream(_health_stream(e, folder)), drain, "hourly")
+    aside = jobs.timeless(_health_stream(e, folder), "timestamp")
+    return written, gold.device_features(aside), closed
+
+
 @query("stream_hourly_features")
 def _(e):
-    clean = silver.telemetry_clean(_arriving(e, "telemetry"), e.device_master)
-    written = _run(jobs.hourly_features_stream(silver.device_health_metrics(clean)), "hourly")
-    return jobs.with_open_rows(written, _hourly(e), ["device_id", "hour_bucket", "device_type", "location"])
+    written, aside, _ = _streamed_hours(e)
+    return written.unionByName(aside.select(*written.columns))
 
 
-@query("stream_ml_features")
+@query("stream_hourly_features_ways")
 def _(e):
-    """The stream join over stored feature and label tables, as the tables follow each other."""
+    """How many hours came each way: closed while data arrived, closed by the drain, without a time."""
+    written, aside, closed = _streamed_hours(e)
+    ways = written.agg(
+        F.lit(closed).cast("long").alias("closed"), (F.count("*") - closed).alias("drained"))
+    return ways.crossJoin(aside.agg(F.count("*").alias("timeless")))  # one row each
 
-    def follow(df: DataFrame, label: str) -> DataFrame:
-        path = fresh_path(e.spark, label)
-        df.write.parquet(path)
-        return e.spark.readStream.schema(df.schema).parquet(path)
 
-    hourly = follow(_hourly(e).filter("hour_bucket IS NOT NULL"), "hourly-table")
-    labels = follow(_labels(e), "label-table")
-    written = _run(jobs.ml_features_stream(hourly, labels), "ml-features")
-    return jobs.with_open_rows(written, _ml_table(e), list(ROW_KEY))
+@query("stream_ml_features")
+def _(e):
+    """The stream join over stored feature and label tables, as the tables follow each other."""
+    hourly, labels = _hourly(e), _labels(e)
+    paths = [fresh_path(e.spark, f"{name}-table") for name in ("hourly", "label")]
+    hourly.filter("hour_bucket IS NOT NULL").write.parquet(paths[0])
+    labels.filter("prediction_hour IS NOT NULL").write.parquet(paths[1])
+
+    def stream() -> DataFrame:
+        sides = [e.spark.readStream.schema(df.schema).parquet(p) for df, p in zip((hourly, labels), paths)]
+        return jobs.ml_features_stream(*sides)
+
+    def drain() -> None:
+        spark = e.spark
+        ends = [spark.read.parquet(p).agg(F.max(c)).first()[0] for p, c in zip(paths, ("hour_bucket", "prediction_hour"))]
+        if not any(ends):
+            return
+        beyond = max(t for t in ends if t) + 3 * timedelta(hours=jobs.LABEL_HOURS)
+        for df, path, column in zip((hourly, labels), paths, ("hour_bucket", "prediction_hour")):
+            # Devices of their own, so that the two rows do not meet.
+            row = spark.createDataFrame([(f"drain {column}", beyond)], f"device_id string, {column} timestamp")
+            empty = spark.createDataFrame([], df.schema).drop("device_id", column)
+            empty.unionByName(row, allowMissingColumns=True).select(*df.columns).write.mode("append").parquet(path)
+
+    written, _ = jobs.run_and_drain(stream, drain, "ml-features")
+    # Hours without a time meet no label and need no state.
+    aside = gold.ml_features(hourly.filter("hour_bucket IS NULL"), labels.limit(0))
+    return written.unionByName(aside.select(*written.columns))

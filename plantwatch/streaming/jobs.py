@@ -7,7 +7,7 @@ watermarks bound.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,7 +19,8 @@ from plantwatch.session import fresh_path
 READING_DELAY = "1 hour"
 # Labels lie up to the whole horizon before their failure, so the join has to wait that long,
 # plus a day for late failures.
-LABEL_DELAY = f"{LabelHorizon().horizon_hours + 24} hours"
+LABEL_HOURS = LabelHorizon().horizon_hours + 24
+LABEL_DELAY = f"{LABEL_HOURS} hours"
 
 
 def hourly_features_stream(
@@ -74,16 +75,26 @@ def run_available_now(
     return spark.read.schema(df.schema).parquet(path), query
 
 
-def with_open_rows(written: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """What a finished run has written, completed by the rows that a watermark still held back.
+def run_and_drain(
+    stream: Callable[[], DataFrame], drain: Callable[[], None], label: str = "stream"
+) -> tuple[DataFrame, int]:
+    """Run to the end of the input, then once more to close what the watermarks still hold back.
 
-    ``batch`` is the same table computed from what has arrived. Of its rows those are added whose
-    keys (nulls equal) were not written: hours not closed, hours without a time, and waits for a
-    label that were not over. A key is never there twice by both ways.
+    ``stream`` builds the query, which both runs resume from one checkpoint; ``drain`` puts into
+    every source one row whose time lies beyond all others by more than the delay. It moves the
+    watermarks past everything open, so the state gives its rows out; the rows put in stay open
+    themselves. Returns the written table and how many of its rows the first run had written.
     """
-    done = written.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return written.unionByName(batch.join(done, same, "left_anti").select(*written.columns))
+    first = stream()
+    spark, path, checkpoint = first.sparkSession, fresh_path(first.sparkSession, label), fresh_path(first.sparkSession, f"{label}-checkpoint")
+    closed = run_available_now(first, path, checkpoint)[0].count()
+    drain()
+    return run_available_now(stream(), path, checkpoint)[0], closed
+
+
+def timeless(stream: DataFrame, time: str, label: str = "timeless") -> DataFrame:
+    """Rows of a stream without a time. No watermark ever passes them, so they are written aside."""
+    return run_available_now(stream.filter(F.col(time).isNull()), label=label)[0]
 
 
 def run_to_table(df: DataFrame, table: str, checkpoint: str) -> StreamingQuery:

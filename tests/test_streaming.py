@@ -79,6 +79,28 @@ def test_hours_close_once_and_late_readings_count_within_the_delay(spark, tmp_pa
     assert hours["2024-01-01 01:00:00"] == expected and hours["2024-01-01 00:00:00"] == 1
 
 
+def test_a_drain_closes_what_the_watermark_holds_back(spark, tmp_path):
+    landing, devices = tmp_path / "t", tmp_path / "d"
+    drop(devices, "d.json", [device("D")])
+    drop(landing, "1.json", [reading("D", f"2024-01-01T{h:02d}:10:00", temperature=1.0) for h in range(6)]
+         + [reading("D", "never", temperature=2.0), reading("D", "2024-01-01T05:40:00", temperature=3.0)])
+
+    def health():
+        return silver.device_health_metrics(silver.telemetry_clean(
+            ingest(spark, str(landing), "telemetry", streaming=True), ingest(spark, str(devices), "device_master")))
+
+    def drain():
+        drop(landing, "2.json", [reading("D", "2024-01-01T09:00:00")])
+
+    written, closed = jobs.run_and_drain(lambda: jobs.hourly_features_stream(health()), drain)
+    hours = {str(r.hour_bucket)[11:13]: r.reading_count for r in written.collect()}
+    # The watermark stands an hour before the last reading, 04:40; the drain's own hour stays open.
+    assert closed == 4 and written.count() == 6
+    assert hours == {**{f"{h:02d}": 1 for h in range(5)}, "05": 2}
+    aside = jobs.timeless(health(), "timestamp")
+    assert aside.count() == 1 and gold.device_features(aside).first().hour_bucket is None
+
+
 def test_replaced_device_snapshot_is_seen_by_the_next_run(spark, tmp_path):
     landing, devices = tmp_path / "t", tmp_path / "d"
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
