@@ -628,6 +628,13 @@ STREAMS = {
         "device_id maintenance_id maintenance_type maintenance_date scheduled_date technician description parts_replaced",
         "duration_minutes has_lineage", "cost",
     ),
+    "bronze_maintenance_arrays": _select(
+        """(SELECT * REPLACE (strftime(maintenance_date, '%Y-%m-%dT%H:%M:%S.%f') || '.000000' AS maintenance_date,
+                              strftime(scheduled_date, '%Y-%m-%dT%H:%M:%S.%f') || '.000000' AS scheduled_date),
+                   3 AS batches FROM maintenance)""",
+        "device_id maintenance_id maintenance_type maintenance_date scheduled_date technician description parts_replaced",
+        "duration_minutes batches", "cost",
+    ),
     "bronze_failures": _select(
         """(SELECT * REPLACE (strftime(failure_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || '.000000' AS failure_timestamp,
                               strftime(repair_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || '.000000' AS repair_timestamp),
@@ -659,6 +666,7 @@ def _broken() -> str:
 
 
 SAME = {
+    "stream_expect_telemetry": CHECKS["expect_telemetry"],
     "expect_telemetry_dropped": _select(
         f"(SELECT * FROM telemetry_clean WHERE {_all_hold()})",
         "device_id timestamp reading_hour device_type location facility manufacturer model",

@@ -18,10 +18,10 @@ from plantwatch.operators.rules import (
     DEVICE_RULES, FAILURE_RULES, MAINTENANCE_RULES, TELEMETRY_RULES, drop_failing, expect_all, quarantine,
 )
 from plantwatch.plans import explore, gold, silver
-from plantwatch.schemas import ML_FEATURES_KEY
+from plantwatch.schemas import ML_FEATURES_KEY, RAW_DDL, columns_of
 from plantwatch.session import fresh_path, materialise
 from plantwatch.sources.given_tables import ARRIVAL, Entities
-from plantwatch.sources.landing import ingest, land
+from plantwatch.sources.landing import ingest, land, land_arrays
 from plantwatch.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -816,6 +816,28 @@ def _(e):
     return _bronze(e, "telemetry")
 
 
+@query("bronze_maintenance_arrays")
+def _(e):
+    """Array files, a third of them per trigger: every row once, in the batch its file came in."""
+    path = fresh_path(e.spark, "landing-arrays")
+    files = land_arrays(e.maintenance, path, "maintenance", multiple_of=3)
+    arriving = ingest(e.spark, path, "maintenance", streaming=True, max_files=files // 3).drop("file")
+    written = jobs.run_in_batches(arriving, "bronze-arrays")
+    batches = F.lit(written.select("batch").distinct().count()).cast("long")
+    return written.select(*columns_of(RAW_DDL["maintenance"]), batches.alias("batches"))
+
+
+@query("stream_expect_telemetry")
+def _(e):
+    """Rules counted in each micro-batch of the written stream, added up over all batches."""
+    path = _landing(e, "telemetry")
+    files = e.spark.read.text(path).select("_metadata.file_path").distinct().count()
+    stream = silver.telemetry_clean(
+        ingest(e.spark, path, "telemetry", streaming=True, multi_line=False, max_files=max(1, -(-files // 3))), e.device_master)
+    counts = jobs.run_in_batches(stream, "rule-counts", batch_table=lambda b: expect_all(b, TELEMETRY_RULES)[1])
+    return counts.groupBy("rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
 @query("stream_telemetry_clean")
 def _(e):
     stream = silver.telemetry_clean(_arriving(e, "telemetry"), e.device_master)

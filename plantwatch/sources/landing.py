@@ -52,3 +52,22 @@ def land(df: DataFrame, path: str, entity: str) -> str:
     """Write an entity's raw columns as JSON lines, one file per task."""
     df.select(*columns_of(RAW_DDL[entity])).write.mode("append").json(path)
     return path
+
+
+ARRAY_ROWS = 50_000  # rows of a file that holds one JSON array, which one task has to read
+
+
+def land_arrays(df: DataFrame, path: str, entity: str, multiple_of: int = 1, rows: int = ARRAY_ROWS) -> int:
+    """Write an entity's raw columns as files of one JSON array each; how many files.
+
+    A file has about ``rows`` rows at most, as such files are written and read by one task each.
+    """
+    raw = df.select(*columns_of(RAW_DDL[entity]))
+    files = multiple_of * max(1, -(-raw.count() // (rows * multiple_of)))
+    dealt = raw.select(
+        F.pmod(F.xxhash64(*raw.columns), F.lit(files)).alias("file"),
+        F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"}).alias("line"),
+    )
+    arrays = dealt.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("line"), ",\n"), F.lit("]")).alias("value"))
+    arrays.repartitionByRange(files, "file").write.partitionBy("file").mode("append").text(path)
+    return files

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from plantwatch.params import HourlyLimits, LabelHorizon
@@ -92,6 +92,30 @@ def run_and_drain(
     return run_available_now(stream(), path, checkpoint)[0], closed
 
 
+def run_in_batches(
+    df: DataFrame, label: str = "batches", checkpoint: str | None = None, path: str | None = None,
+    batch_table: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Run to the end of the input and keep with every row the number of its micro-batch.
+
+    Each batch is written to a folder of its own number, over what a broken attempt may have left,
+    so a batch that is repeated after a failure adds nothing. ``batch_table`` turns a batch into
+    what is written of it, such as its rule counts.
+    """
+    spark = df.sparkSession
+    path, checkpoint = path or fresh_path(spark, label), checkpoint or fresh_path(spark, f"{label}-checkpoint")
+
+    def write(batch: DataFrame, number: int) -> None:
+        out = batch if batch_table is None else batch_table(batch)
+        out.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    kind = df.schema if batch_table is None else batch_table(spark.createDataFrame([], df.schema)).schema
+    numbered = T.StructType([*kind.fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(numbered).option("basePath", path).parquet(path)
+
+
 def timeless(stream: DataFrame, time: str, label: str = "timeless") -> DataFrame:
     """Rows of a stream without a time. No watermark ever passes them, so they are written aside."""
     return run_available_now(stream.filter(F.col(time).isNull()), label=label)[0]
