@@ -684,5 +684,40 @@ SAME = {
 }
 
 
+def _declared() -> str:
+    """(table, rows from, quality, key, comment, rules) as the tables declare them."""
+    rows = [
+        *((f"bronze_{n}", n, "bronze", "", f"{n} rows as they arrived", None) for n in ("telemetry", "device_master", "maintenance", "failures")),
+        ("telemetry_clean", "telemetry_clean", "silver", "", "Readings of active devices with repaired times", "telemetry"),
+        ("device_master_clean", "device_master_clean", "silver", "device_id", "Devices with their clocks", "devices"),
+        ("maintenance_clean", "maintenance_clean", "silver", "maintenance_id", "Maintenance with delays", "maintenance"),
+        ("failures_clean", "failures_clean", "silver", "failure_id", "Failures with severity scores and downtime", "failures"),
+        ("device_health_metrics", "health", "silver", "", "Readings with trends and anomaly scores", None),
+        ("device_features", "hourly", "gold", "", "Hourly features", None),
+        ("failure_labels", "labels_hourly", "gold", "", "Hours before a failure", None),
+        ("ml_features", "ml_table", "gold", "device_id,hour_bucket", "The learning table", None),
+        ("health_dashboard", "hourly", "gold", "", "Device status", None),
+        ("maintenance_analytics", "maintenance_clean", "gold", "", "Maintenance by month", None),
+    ]
+    parts = []
+    for name, source, quality, key, comment, rules in rows:
+        broken = "0" if not key else (
+            f"(SELECT count(*) FROM (SELECT {key} FROM {source} GROUP BY {key} HAVING count(*) > 1))")
+        failed = "0" if rules is None else (
+            "(SELECT " + " + ".join(f"count(*) FILTER (WHERE NOT coalesce({p}, FALSE))" for p in _RULES[rules][1].values())
+            + f" FROM {source})")
+        parts.append(
+            f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {source}) AS \"rows\", CAST({broken} AS BIGINT) AS broken_keys, "
+            f"CAST({failed} AS BIGINT) AS failed, '{quality}' AS quality, '{key}' AS \"key\", '{comment}' AS comment")
+    return sql(" UNION ALL ".join(parts))
+
+
+DECLARED = {
+    "declared_tables": _declared(),
+    "declared_learning_table": TABLES["predictive_maintenance_features"],
+    "declared_labels_followed": TABLES["failure_labels"],
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**SAME, **TABLES, **CHECKS, **EXPLORE, **LEARNING, **MODELS, **STREAMS}
+    return {**SAME, **TABLES, **CHECKS, **EXPLORE, **LEARNING, **MODELS, **STREAMS, **DECLARED}

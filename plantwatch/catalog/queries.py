@@ -17,11 +17,12 @@ from plantwatch.operators.lookup import BROADCAST_BYTES, latest_snapshot, orphan
 from plantwatch.operators.rules import (
     DEVICE_RULES, FAILURE_RULES, MAINTENANCE_RULES, TELEMETRY_RULES, drop_failing, expect_all, quarantine,
 )
-from plantwatch.plans import explore, gold, silver
+from plantwatch.plans import explore, gold, silver, tables
 from plantwatch.schemas import ML_FEATURES_KEY, RAW_DDL, columns_of
 from plantwatch.session import fresh_path, materialise
 from plantwatch.sources.given_tables import ARRIVAL, Entities
 from plantwatch.sources.landing import ingest, land, land_arrays
+from plantwatch.sources.tables import follow, snapshot
 from plantwatch.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -895,9 +896,9 @@ def _(e):
 def _(e):
     """How many hours came each way: closed while data arrived, closed by the drain, without a time."""
     written, aside, closed = _streamed_hours(e)
-    ways = written.agg(
-        F.lit(closed).cast("long").alias("closed"), (F.count("*") - closed).alias("drained"))
-    return ways.crossJoin(aside.agg(F.count("*").alias("timeless")))  # one row each
+    return written.agg(
+        F.lit(closed).cast("long").alias("closed"), (F.count("*") - closed).alias("drained"),
+        aside.agg(F.count("*")).scalar().alias("timeless"))
 
 
 @query("stream_ml_features")
@@ -928,3 +929,31 @@ def _(e):
     # Hours without a time meet no label and need no state.
     aside = gold.ml_features(hourly.filter("hour_bucket IS NULL"), labels.limit(0))
     return written.unionByName(aside.select(*written.columns))
+
+
+def _declared(e: Entities) -> tuple[tuple[tables.Table, ...], str]:
+    """All declared tables, made from the raw entities in a database of their own."""
+    plan = tables.declared(F.lit(AS_OF_DAY).cast("date"), _now())
+    location = fresh_path(e.spark, "database")
+    database = f"plantwatch_{location[-12:]}"
+    tables.build_tables(e.spark, plan, e.raw(), database, location)
+    return plan, database
+
+
+@query("declared_tables")
+def _(e):
+    """Every table read back: rows, broken keys, rule failures, and its entry in the catalog."""
+    plan, database = _declared(e)
+    return tables.inspect_tables(e.spark, plan, database)
+
+
+@query("declared_learning_table")
+def _(e):
+    """The learning table at the end of the run, read back as a snapshot."""
+    return snapshot(e.spark, f"{_declared(e)[1]}.ml_features")
+
+
+@query("declared_labels_followed")
+def _(e):
+    """A written table followed as a stream."""
+    return _run(follow(e.spark, f"{_declared(e)[1]}.failure_labels"), "labels-followed")

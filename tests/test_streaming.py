@@ -11,7 +11,7 @@ from plantwatch.operators.rules import TELEMETRY_RULES, observe_rules
 from plantwatch.plans import gold, silver
 from plantwatch.schemas import RAW_DDL, columns_of
 from plantwatch.session import fresh_path, shared_folder
-from plantwatch.sources.landing import ingest, land
+from plantwatch.sources.landing import ingest, land, land_arrays
 from plantwatch.sources.tables import append_table, follow, save_table, snapshot
 from plantwatch.streaming import jobs
 
@@ -170,6 +170,38 @@ def test_tables(spark, tmp_path):
     assert query.exception() is None and snapshot(spark, "demo_copy").count() == 2
 
 
+def test_micro_batches_are_bounded_and_written_once(spark, tmp_path):
+    rows = spark.range(90).select(
+        F.concat(F.lit("M"), F.col("id")).alias("maintenance_id"), F.lit("D").alias("device_id"),
+        *[F.lit(None).cast(t).alias(c) for c, t in (f.split() for f in RAW_DDL["maintenance"].replace("\n", " ").split(",")
+                                                     if f.split()[0] not in ("maintenance_id", "device_id"))])
+    assert land_arrays(rows, str(tmp_path / "in"), "maintenance", multiple_of=3, rows=40) == 3
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run():
+        stream = ingest(spark, str(tmp_path / "in"), "maintenance", streaming=True, max_files=1).drop("file")
+        return jobs.run_in_batches(stream, checkpoint=checkpoint, path=out)
+
+    written = run()
+    assert written.count() == 90 == written.select("maintenance_id").distinct().count()
+    assert {r.batch for r in written.select("batch").distinct().collect()} == {0, 1, 2}
+    assert run().count() == 90  # nothing new: no batch
+
+
+def test_declared_tables_are_made_in_order_and_resumed(spark, small, tmp_path):
+    from plantwatch.catalog import queries as catalog
+    from plantwatch.plans import tables
+
+    e = catalog.entities(spark, small)
+    plan = tables.declared(F.lit("2024-02-01").cast("date"), F.lit("2024-02-01").cast("timestamp"))
+    order = tables.build_tables(spark, plan, e.raw(), "declared_once", str(tmp_path / "db"))
+    assert all(order.index(r) < order.index(t.name) for t in plan for r in t.reads if r in order)
+    before = snapshot(spark, "declared_once.telemetry_clean").inputFiles()
+    tables.build_tables(spark, plan, e.raw(), "declared_once", str(tmp_path / "db"), frozenset(order[:-1]))
+    assert snapshot(spark, "declared_once.telemetry_clean").inputFiles() == before
+    spark.sql("DROP DATABASE declared_once CASCADE")
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert fresh_path(spark, "x").startswith(shared_folder(spark)) and shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
