@@ -15,7 +15,8 @@ CHECKED = [
     "freq_quality", "reading_type_moments", "device_summary", "normality_k2", "hist_value_by_type", "headline_kpis",
     "stratified_split", "roc_auc", "classification_report", "ml_clipped", "ml_selective_robust",
     "telemetry_clean_shuffled", "telemetry_clean_latest", "roc_auc_gaps", "expect_telemetry_dropped",
-    "expect_telemetry_quarantined", "stream_ml_features",
+    "expect_telemetry_quarantined", "stream_ml_features", "stream_hourly_features_ways", "bronze_maintenance_arrays",
+    "stream_expect_telemetry", "declared_tables", "ml_indicators_scaled", "ml_validation",
 ]
 
 
