@@ -50,6 +50,40 @@ FROM words w LEFT JOIN hit h ON w.doc_id = h.doc_id LEFT JOIN named n ON w.doc_i
 """
 
 
+REVISITS = """
+WITH payloads AS (
+  SELECT page_id, url, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) || '00' AS h FROM pages),
+digested AS (
+  SELECT page_id, url, html, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(((CAST('0x' || substr(h, CAST(i * 5 // 4 + 1 AS BIGINT), 3) AS BIGINT) >> CAST(7 - i * 5 % 4 AS BIGINT)) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest
+  FROM payloads),
+holders AS (SELECT html, max(page_id) AS holder FROM digested GROUP BY html)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> holder THEN holder END AS refers_to, url, TRUE AS sound
+FROM digested JOIN holders USING (html)
+"""
+
+LINKS = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(3, len(w)) - 1], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * n_both >= 90 * (x.n + y.n - n_both)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS met FROM documents UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON e.a = r.met)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, min(r.met)) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reached r ON r.doc_id = d.doc_id GROUP BY d.doc_id, s.n
+"""
+
+
 def _turn_moves() -> str:
     """What can be done up to one row from each state: edits, roles reached, cost, next state."""
     due = {0: 2, 1: 2, 2: 3, 3: 2}
@@ -93,9 +127,11 @@ damaged AS (
 ordered AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) - 1 AS i FROM damaged),
 faults AS (
-  SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank,
+  SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
          row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
-         NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut,
+         NOT regexp_matches(text, '[.!?][ 	-
+]*\z') AS cut,
          lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM ordered),
 judged AS (
   SELECT *, CASE WHEN blank OR seen THEN 2 WHEN cut THEN 1 ELSE 0 END AS fault,
@@ -141,4 +177,4 @@ LEFT JOIN texts t ON o.conv_id IS NOT DISTINCT FROM t.conv_id
 
 
 def llm_oracle() -> dict[str, str]:
-    return {"op3_wu_manber": LEAKS, "op8_line_runs": LINES, "op12_astar_repair": TURNS}
+    return {"op1_warc_revisits": REVISITS, "op10_ngram_join": LINKS, "op3_wu_manber": LEAKS, "op8_line_runs": LINES, "op12_astar_repair": TURNS}
