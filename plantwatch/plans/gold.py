@@ -109,6 +109,7 @@ def ml_features(
         raise ValueError(f"unknown dedup: {dedup}")
     left, right = features.alias("f"), labels.alias("l")
     joined = _join_on_hour(left, right)
+    # What hours without a coming failure hold.
     filled = joined.select(
         "f.*",
         F.coalesce("l.will_fail", F.lit(0)).alias("will_fail"),
@@ -137,6 +138,7 @@ def conform(df: DataFrame, ddl: str) -> DataFrame:
 
 def health_dashboard(features: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Status per device hour; the first matching status wins."""
+    # The status texts.
     status = (
         F.when(F.col("health_score") == 1, "Healthy")
         .when((F.col("high_temperature") == 1) | (F.col("high_vibration") == 1), "Warning")
