@@ -600,8 +600,11 @@ MODELS = {
     "gbt_predictions_check": _select(
         _NEW_ROWS.format(extra="1::BIGINT AS sound"), "device_id hour_bucket failure_type severity", "sound", "days_before_failure"
     ),
-    "gbt_score_new": _select(
-        _NEW_ROWS.format(extra="2::BIGINT AS batches"), "device_id hour_bucket failure_type severity", "batches", "days_before_failure"
+    # Scoring starts after the latest hour the model has seen, which may lie before the cutoff.
+    "gbt_score_new": sql(
+        _CUT + """SELECT device_id, hour_bucket, failure_type, severity, round(CAST(days_before_failure AS DOUBLE), 8) AS days_before_failure,
+                         2::BIGINT AS batches
+                  FROM ml_table WHERE hour_bucket > (SELECT max(hour_bucket) FROM cut_rows)"""
     ),
 }
 
