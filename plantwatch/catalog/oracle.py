@@ -646,6 +646,7 @@ STREAMS = {
         "has_lineage", "cost",
     ),
     "stream_telemetry_clean": TABLES["telemetry_clean"],
+    "stream_telemetry_clean_split": TABLES["telemetry_clean"],
     "stream_device_master_clean": TABLES["device_master_clean"],
     "stream_maintenance_analytics": TABLES["maintenance_analytics"],
     "stream_failure_labels": TABLES["failure_labels"],

@@ -13,7 +13,7 @@ from plantwatch.ml import evaluate, features as prep, split, train as learn
 from plantwatch.ml.score import ScoredTable, score, scoring_input
 from plantwatch.operators import coherence, profile
 from plantwatch.operators.correlate import correlation_pairs, strong_pairs
-from plantwatch.operators.lookup import BROADCAST_BYTES, latest_snapshot, orphan_keys
+from plantwatch.operators.lookup import BROADCAST_BYTES, latest_snapshot, orphan_keys, split_lookup_join
 from plantwatch.operators.rules import (
     DEVICE_RULES, FAILURE_RULES, MAINTENANCE_RULES, TELEMETRY_RULES, drop_failing, expect_all, quarantine,
 )
@@ -845,6 +845,14 @@ def _(e):
     return _run(stream, "telemetry-clean").drop("ingestion_time")
 
 
+@query("stream_telemetry_clean_split")
+def _(e):
+    """Devices too many to broadcast: busy ones are found and split off in every micro-batch."""
+    batch = lambda rows: silver.telemetry_clean(rows, e.device_master, BROADCAST_BYTES + 1, split_lookup_join)
+    written = jobs.run_in_batches(_arriving(e, "telemetry"), "telemetry-split", batch_table=batch, keep=True)
+    return written.drop("ingestion_time", "batch")
+
+
 @query("stream_device_master_clean")
 def _(e):
     stream = silver.device_master_clean(_arriving(e, "device_master"), F.lit(AS_OF_DAY).cast("date"))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+# A key with one in so many rows is busy, so there are no more busy keys than that.
+BUSY_KEYS = 64
+TRACKED_KEYS = 2048
 
 
 def frame_bytes(df: DataFrame) -> int:
@@ -44,6 +47,47 @@ def lookup_join(
     return facts.join(dim.hint("merge"), key, how)
 
 
+def busy_keys(facts: DataFrame, key: str) -> list:
+    """Keys that hold at least one in ``BUSY_KEYS`` rows, by a sketch of the most frequent ones.
+
+    One aggregate whose state has a fixed size; the null key is never among them.
+    """
+    seen = facts.where(F.col(key).isNotNull()).agg(
+        F.count("*").alias("rows"), F.expr(f"approx_top_k(`{key}`, {BUSY_KEYS}, {TRACKED_KEYS})").alias("top")
+    ).first()
+    return [x["item"] for x in seen["top"] or [] if x["count"] * BUSY_KEYS >= seen["rows"]]
+
+
+def split_lookup_join(
+    facts: DataFrame,
+    dim: DataFrame,
+    key: str,
+    how: str = "inner",
+    dim_bytes: int | None = None,
+    limit_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The rows of ``lookup_join``, without a task that holds all rows of a busy key.
+
+    Where the dimension is too large to broadcast, the rows of busy keys, and those without a key,
+    meet the few dimension rows of these keys by broadcast and are not shuffled; all others are
+    joined by a shuffle. A micro-batch of a stream gets no splitting by adaptive execution, so
+    this is for ``foreachBatch``. A wrong estimate costs time and no rows: every key is on one side only.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type: {how}")
+    size = frame_bytes(dim) if dim_bytes is None else dim_bytes
+    if size <= limit_bytes:
+        return facts.join(F.broadcast(dim), key, how)
+    busy = busy_keys(facts, key)
+    few = dim.where(F.col(key).isin(busy))
+    if frame_bytes(few) > limit_bytes:
+        return facts.join(dim.hint("merge"), key, how)
+    apart = F.col(key).isNull() | F.col(key).isin(busy)
+    return facts.where(apart).join(F.broadcast(few), key, how).unionByName(
+        facts.where(~apart).join(dim.hint("merge"), key, how)
+    )
+
+
 def latest_snapshot(df: DataFrame, key: str = "device_id", order: str = "ingestion_time") -> DataFrame:
     """One row per key: the most recently ingested.
 

@@ -6,6 +6,8 @@ of them are projections, except the device lookup of ``telemetry_clean``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plantwatch.functions.bands import flag, outside, score, trend
@@ -19,12 +21,14 @@ def _tidy(name: str) -> Column:
 
 
 def telemetry_clean(
-    telemetry: DataFrame, device_master: DataFrame, dim_bytes: int | None = None
+    telemetry: DataFrame, device_master: DataFrame, dim_bytes: int | None = None,
+    join: Callable[..., DataFrame] = lookup_join,
 ) -> DataFrame:
     """Readings of active devices with repaired time, device attributes and day counts.
 
     Location and facility come from the device master, never from the reading. The status is
     compared as written: a status with stray case or blanks does not count as active.
+    ``join``: how devices are looked up, ``split_lookup_join`` in micro-batches with busy devices.
     """
     devices = device_master.filter(F.col("status").isin(*ACTIVE_STATUSES)).select(
         "device_id",
@@ -41,7 +45,7 @@ def telemetry_clean(
         "device_id", repair_ts("timestamp").alias("timestamp"), *SENSORS, "ingestion_time"
     )
     ts = F.col("timestamp")
-    return lookup_join(readings, devices, "device_id", "inner", dim_bytes).select(
+    return join(readings, devices, "device_id", "inner", dim_bytes).select(
         "device_id",
         "timestamp",
         hour_of(ts).alias("reading_hour"),

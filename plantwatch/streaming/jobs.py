@@ -94,20 +94,24 @@ def run_and_drain(
 
 def run_in_batches(
     df: DataFrame, label: str = "batches", checkpoint: str | None = None, path: str | None = None,
-    batch_table: Callable[[DataFrame], DataFrame] | None = None,
+    batch_table: Callable[[DataFrame], DataFrame] | None = None, keep: bool = False,
 ) -> DataFrame:
     """Run to the end of the input and keep with every row the number of its micro-batch.
 
     Each batch is written to a folder of its own number, over what a broken attempt may have left,
     so a batch that is repeated after a failure adds nothing. ``batch_table`` turns a batch into
-    what is written of it, such as its rule counts.
+    what is written of it, such as its rule counts; ``keep`` stores the batch while that is made, for
+    tables that read it more than once.
     """
     spark = df.sparkSession
     path, checkpoint = path or fresh_path(spark, label), checkpoint or fresh_path(spark, f"{label}-checkpoint")
 
     def write(batch: DataFrame, number: int) -> None:
-        out = batch if batch_table is None else batch_table(batch)
+        held = batch.persist() if keep else batch
+        out = held if batch_table is None else batch_table(held)
         out.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if keep:
+            held.unpersist()
 
     query = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

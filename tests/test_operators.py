@@ -14,9 +14,41 @@ from plantwatch.operators import quantiles
 from plantwatch.operators.coherence import duplicate_rows, key_violations, missing_values
 from plantwatch.operators.correlate import correlation_pairs, strong_pairs
 from plantwatch.operators.dictionary import Dictionary, build_dictionary
-from plantwatch.operators.lookup import BROADCAST_BYTES, frame_bytes, latest_snapshot, lookup_join, orphan_keys
+from plantwatch.operators.lookup import (
+    BROADCAST_BYTES, busy_keys, frame_bytes, latest_snapshot, lookup_join, orphan_keys, split_lookup_join,
+)
 from plantwatch.operators.profile import describe, histogram, moments, pooled_by
 from plantwatch.operators.ranks import exclusive_running_sum
+from plantwatch.streaming import jobs
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_busy_devices_of_a_micro_batch_are_not_shuffled(spark, tmp_path, how):
+    """One device has half the readings, others have none, no key, or no device row."""
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 11 == 0, None)
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 997)).alias("device_id"), (F.col("id") % 7).alias("v"),
+    )
+    dim = spark.createDataFrame([("hot", "a"), ("hot", "c"), (None, "n")] + [(f"k{i}", "b") for i in range(900)], "device_id string, name string")
+    assert busy_keys(rows, "device_id") == ["hot"] and busy_keys(rows.limit(0), "device_id") == []
+    rows.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    plans = []
+
+    def batch(part):
+        out = split_lookup_join(part, dim, "device_id", how, dim_bytes=BROADCAST_BYTES + 1)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    written = jobs.run_in_batches(stream, batch_table=batch, keep=True)
+    want = lookup_join(rows, dim, "device_id", how)
+    got = written.select(*want.columns)
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+    assert written.select("batch").distinct().count() == 3
+    # Busy rows meet a broadcast side: their branch has no exchange but that one.
+    for plan in plans[:3]:
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        assert plan.count("Exchange hashpartitioning") == 2
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
