@@ -404,6 +404,32 @@ def test_ngram_join_links_sets_of_unequal_needs(spark, monkeypatch):
     assert _rows(got, "doc_id", "n_shingles", "component_id") == _want([(1, 100, 1), (2, 100, 1), (3, 100, 3)])
 
 
+def test_ngram_join_of_groups_larger_than_hot(spark, monkeypatch):
+    """Groups of near copies beside texts that share a passage with them, held against all pairs."""
+    monkeypatch.setattr(ngram_join, "HOT", 4)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 4)
+    rng = np.random.default_rng(5)
+    passage, rows = [f"p{k}" for k in range(12)], []
+    for group in range(4):
+        base = [*passage, *(f"g{group}-{k}" for k in range(20 + 25 * group))]
+        for copy in range(14):
+            words = list(base)
+            for at in rng.choice(len(words), copy % 4, replace=False):
+                words[at] = f"e{rng.integers(3)}"
+            rows.append((len(rows), " ".join(words)))
+    rows += [(len(rows) + k, " ".join([*passage, *(f"s{k}-{j}" for j in range(k))])) for k in range(12)]
+    sets = [{tuple(w[k : k + 3]) for k in range(len(w) - 2)} for w in (t.split() for _, t in rows)]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert 4 < len(set(label)) < len(rows)
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert _rows(got, "doc_id", "n_shingles", "component_id") == _want([(k, len(sets[k]), label[k]) for k in range(len(rows))])
+
+
 def test_components_of_a_long_chain(spark, tmp_path):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101)], "a long, b long")
     roots = {r.v: r.root for r in ngram_join.components(edges, f"file://{tmp_path}/c").collect()}
@@ -412,7 +438,7 @@ def test_components_of_a_long_chain(spark, tmp_path):
 
 def test_numbered_queries_keep_one_row_per_input_row(spark, small):
     known = llm_queries()
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in known) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in known) == list(range(1, 14))
     pages, docs = (spark.read.parquet(f"{small}/{t}.parquet").count() for t in ("pages", "documents"))
     for name in ("op2_suffix_automata", "op3_wu_manber", "op5_secret_crf", "op6_merkle", "op7_host_reputation"):
         assert known[name](spark, small).count() == (pages if name.startswith("op7") else docs)
