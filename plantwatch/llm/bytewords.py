@@ -19,6 +19,8 @@ _STEP = np.uint64(0xD1B54A32D192ED03)
 _UNSTEP = np.uint64(pow(int(_STEP), -1, 2**64))
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_B = np.uint64(0x94D049BB133111EB)
+# Bytes or words whose running sums are held at once; hashes do not depend on it.
+BLOCK = 1 << 17
 _SPREAD = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
 
 # Bytes that end a word: white space in the sense of ASCII.
@@ -50,14 +52,16 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 class _Powers:
-    """Powers of a base and of its inverse, grown as batches ask for more."""
+    """Powers of a base and of its inverse: as many as one block asks for are kept."""
 
     def __init__(self, base: np.uint64, inverse: np.uint64):
-        self.base, self.inverse, self.up, self.down = base, inverse, _powers(base, 1), _powers(inverse, 1)
+        self.base, self.inverse = base, inverse
+        self.up, self.down = _powers(base, BLOCK + 1), _powers(inverse, BLOCK + 1)
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            self.up, self.down = _powers(self.base, 2 * n), _powers(self.inverse, 2 * n)
+        if n > len(self.up):
+            # A word or window of more than a block: its powers go with it.
+            return _powers(self.base, n), _powers(self.inverse, n)
         return self.up[:n], self.down[:n]
 
 
@@ -111,20 +115,35 @@ class Words:
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         spread = _SPREAD[LOWER] if lower else _SPREAD
-        up, down = _BYTE_POWERS.to(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(spread[self.data] * up[:-1], out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * down[self.starts] + (self.ends - self.starts).astype(np.uint64))
+        out = np.empty(len(self.starts), np.uint64)
+        at = 0
+        while at < len(out):
+            # As many whole words as a block holds, one at least.
+            low = self.starts[at]
+            stop = max(at + 1, int(np.searchsorted(self.ends, low + BLOCK, side="right")))
+            starts, ends = self.starts[at:stop] - low, self.ends[at:stop] - low
+            size = int(ends[-1])
+            up, down = _BYTE_POWERS.to(size + 1)
+            sums = np.zeros(size + 1, np.uint64)
+            np.cumsum(spread[self.data[low : low + size]] * up[:-1], out=sums[1:])
+            out[at:stop] = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+            at = stop
+        return out
 
 
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` consecutive values; text ends are the caller's matter."""
     if len(words) < size:
         return np.zeros(0, np.uint64)
-    up, down = _WORD_POWERS.to(len(words) + 1)
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * up[:-1], out=sums[1:])
-    return mix((sums[size:] - sums[:-size]) * down[: len(words) - size + 1])
+    out = np.empty(len(words) - size + 1, np.uint64)
+    step = max(BLOCK - size + 1, size)
+    for at in range(0, len(out), step):
+        block = words[at : at + step + size - 1]
+        up, down = _WORD_POWERS.to(len(block) + 1)
+        sums = np.zeros(len(block) + 1, np.uint64)
+        np.cumsum(block * up[:-1], out=sums[1:])
+        out[at : at + step] = mix((sums[size:] - sums[:-size]) * down[: len(block) - size + 1])
+    return out
 
 
 def window_starts(first: np.ndarray, size: int) -> np.ndarray:
