@@ -381,8 +381,13 @@ def test_ngram_join(docs, nothing, monkeypatch, options, hot):
         assert left.columns == docs.columns
 
 
-def test_ngram_join_links_sets_of_unequal_needs(spark, monkeypatch):
-    """Two near copies of 100 shingles, of which one has a member the sketch counts 20,000 times."""
+@pytest.mark.parametrize("price", [ngram_join.VERIFY_COST, 0.0625])
+def test_ngram_join_links_sets_of_unequal_needs(spark, monkeypatch, price):
+    """Two near copies of 100 shingles, of which one has a member the sketch counts 20,000 times.
+
+    At the higher price that one asks for 28 shared members and the other for 4.
+    """
+    monkeypatch.setattr(ngram_join, "VERIFY_COST", price)
 
     def members(words):
         return ngram_join.shingle_sets(*text_bytes(pa.array([" ".join(words)])))[0]
@@ -404,6 +409,23 @@ def test_ngram_join_links_sets_of_unequal_needs(spark, monkeypatch):
     assert _rows(got, "doc_id", "n_shingles", "component_id") == _want([(1, 100, 1), (2, 100, 1), (3, 100, 3)])
 
 
+def test_ngram_join_leaves_only_what_its_result_needs(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(ngram_join, "fresh_path", lambda *_: f"{tmp_path}/join")
+    dropped = []
+    monkeypatch.setattr(ngram_join, "discard", lambda _, path: dropped.append(path.rsplit("/", 1)[1]))
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    words = [f"w{k}" for k in range(40)]
+    rows = [(k, " ".join([*words, f"end{k % 2}"])) for k in range(6)] + [(6, None), (7, "other words here")]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = _rows(got, "doc_id", "component_id")
+    assert spark.conf.get(setting) == before
+    assert sorted(dropped) == ["chosen", "crowded", "first", "found", "met", "pairs", "signatures"]
+    for name in dropped:
+        (tmp_path / "join" / name).rename(tmp_path / name)
+    assert _rows(got, "doc_id", "component_id") == want == _want([*((k, 0) for k in range(6)), (6, 6), (7, 7)])
+
+
 def test_ngram_join_of_groups_larger_than_hot(spark, monkeypatch):
     """Groups of near copies beside texts that share a passage with them, held against all pairs."""
     monkeypatch.setattr(ngram_join, "HOT", 4)

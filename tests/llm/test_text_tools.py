@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from plantwatch.llm import byte_cnn, merkle, packing, secret_crf, wu_manber
+from plantwatch.llm import byte_cnn, bytewords, merkle, packing, secret_crf, wu_manber
 from plantwatch.llm.bytewords import ALNUM, NOT_SPACE, Words, covered, slices, text_bytes, window_hashes
 from plantwatch.llm.ngram_join import block_links, shingle_sets
 from plantwatch.llm.substrings import SuffixAutomaton, anchors, spans_of
@@ -45,6 +45,20 @@ def test_words_and_hashes(allowed, pattern):
     assert len(set(triples.values())) == len(triples)
 
 
+@pytest.mark.parametrize("block", [1, 7, 64, 4999])
+def test_hashes_do_not_depend_on_blocks(monkeypatch, block):
+    words = Words(*text_bytes(pa.array(_texts(2))), NOT_SPACE)
+    hashes, lower = words.hashes(), words.hashes(lower=True)
+    windows = {size: window_hashes(hashes, size) for size in (1, 3, 50, len(hashes), len(hashes) + 1)}
+    monkeypatch.setattr(bytewords, "BLOCK", block)
+    assert (words.hashes() == hashes).all()
+    assert (words.hashes(lower=True) == lower).all()
+    for size, want in windows.items():
+        got = window_hashes(hashes, size)
+        assert len(got) == len(want)
+        assert (got == want).all()
+
+
 def test_empty_batches():
     data, offsets = text_bytes(pa.array([], pa.string()))
     assert len(Words(data, offsets, NOT_SPACE)) == 0
