@@ -256,3 +256,22 @@ def test_table_checks(spark):
     assert duplicate_rows(df).first().duplicates == 2
     assert [(r.k, r.copies) for r in key_violations(df, ("k",)).collect()] == [("a", 3)]
     assert {r.column_name: r.missing for r in missing_values(df).collect()} == {"k": 0, "v": 1, "(total)": 1}
+
+
+def test_a_table_of_few_files_is_dealt_to_all_cores_in_order(spark, small, tmp_path):
+    from plantwatch.sources.given_tables import READINGS_PER_EVENT, Entities
+
+    events = spark.read.parquet(f"{small}/events.parquet")
+    for half in (0, 1):
+        events.filter(F.col("event_id") % 2 == half).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    rows = Entities(spark, str(tmp_path)).telemetry.withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in rows.groupBy("task").count().collect()]
+    assert len(sizes) >= spark.sparkContext.defaultParallelism
+    assert sum(sizes) == READINGS_PER_EVENT * events.count() and max(sizes) < 0.5 * sum(sizes)
+
+
+def test_a_large_hashed_lookup_sorts_no_facts(spark):
+    facts = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
+    plan = lookup_join(facts, spark.range(5).withColumnRenamed("id", "k"), "k", dim_bytes=2, limit_bytes=1, shuffled="shuffle_hash")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in text and "Sort" not in text

@@ -179,3 +179,14 @@ def test_dashboard_status_and_costs(spark):
     rows = gold.maintenance_analytics(m).collect()
     assert [r.is_expensive for r in rows] == [0, 1, 0]
     assert {str(r.maintenance_month) for r in rows} == {"2024-03-01 00:00:00"}
+
+
+def test_usual_timestamps_are_cast_and_odd_ones_read_by_the_format(spark):
+    odd = [
+        "2024-02-30T00:00:00.123456", "2024-01-01T24:00:00.000000", "2024-01-01T00:00:00.12345Z", "0000-01-01T00:00:00.123456",
+        "2024-01-01T00:00:00.123456\n", " 2024-01-01T00:00:00.123456", "2024-01-01T00:00:00.12345", "2024-02-29T00:00:00.123456.000000",
+    ]
+    df = spark.createDataFrame([(t,) for t in odd], "raw string")
+    by_format = F.try_to_timestamp(F.regexp_replace("raw", r"\.(\d{6})\.000000$", ".$1"), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    assert df.filter(~repair_ts("raw").eqNullSafe(by_format)).count() == 0
+    assert "cast(substring(raw" in str(repair_ts("raw")).lower()
