@@ -295,3 +295,33 @@ def test_auc_of_many_groups(spark):
         assert math.isclose(areas[g], evaluate.roc_auc(df.filter(F.col("g") == g)).first().roc_auc, rel_tol=1e-12)
     empty = evaluate.roc_auc(df.limit(0)).first()
     assert empty.roc_auc is None and empty.unscored == 0
+
+
+def test_models_that_are_the_same_so_far_are_added_up_once(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    n = 200
+    x = rng.normal(size=(n, 2))
+    y = (x[:, 0] + x[:, 1] ** 2 > 0.5).astype(int)
+    df = spark.createDataFrame([(i, int(a), 0, [float(c) for c in r]) for i, (a, r) in enumerate(zip(y, x))],
+                               "id int, y int, fold int, x array<double>")
+    edges = boost.bin_edges(df.select(*[F.col("x")[j].alias(str(j)) for j in range(2)]), ["0", "1"], bins=8)
+    counts = {(0, c): int((y == c).sum()) for c in (0, 1)}
+    from plantwatch.session import materialise
+
+    blocks = materialise(boost.pack(df, "y", "fold", ["x"], [edges], ["id"]), "blocks")
+    asked, added, adaptive = boost.Ensemble._best, [], spark.conf.get("spark.sql.adaptive.enabled")
+    monkeypatch.setattr(boost.Ensemble, "_best", lambda self, b, t, level, nodes: added.append(set(nodes)) or asked(self, b, t, level, nodes))
+    least = (2, 60, 3)
+
+    def grown(*models):
+        ensemble = boost.Ensemble([boost.Growth(0, None, 3, 0.3, m) for m in models], [2], 3, boost.start_margins(
+            counts, [boost.Growth(0, None, 3, 0.3, m) for m in models]))
+        boost.grow_all(blocks, ensemble, 3)
+        return ensemble.trees
+
+    together = grown(*least)
+    assert added[0] == {0} and any(1 in models for models in added)
+    for trees, m in zip(together, least):
+        alone = grown(m)[0]
+        assert all((getattr(trees, a) == getattr(alone, a)).all() for a in ("feature", "bin", "value"))
+    assert spark.conf.get("spark.sql.adaptive.enabled") == adaptive
