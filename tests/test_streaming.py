@@ -58,6 +58,16 @@ def test_landed_lines_read_back(spark, small):
     assert back.count() == e.failures.count()
 
 
+def test_landed_files_are_small(spark, small, tmp_path):
+    from plantwatch.catalog.queries import entities
+
+    e = entities(spark, small)
+    land(e.telemetry, str(tmp_path / "landed"), "telemetry")
+    e.telemetry.select(*columns_of(RAW_DDL["telemetry"])).write.json(str(tmp_path / "plain"))
+    size = lambda name: sum(f.stat().st_size for f in (tmp_path / name).glob("part-*"))
+    assert 5 * size("landed") < size("plain")
+
+
 def _hours(spark, landing, devices, out, checkpoint, delay="1 hour"):
     clean = silver.telemetry_clean(ingest(spark, str(landing), "telemetry", streaming=True), ingest(spark, str(devices), "device_master"))
     stream = jobs.hourly_features_stream(silver.device_health_metrics(clean), delay)
