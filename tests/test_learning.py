@@ -325,3 +325,47 @@ def test_models_that_are_the_same_so_far_are_added_up_once(spark, monkeypatch):
         alone = grown(m)[0]
         assert all((getattr(trees, a) == getattr(alone, a)).all() for a in ("feature", "bin", "value"))
     assert spark.conf.get("spark.sql.adaptive.enabled") == adaptive
+
+
+def test_columns_of_few_bins_share_a_histogram():
+    rng = np.random.default_rng(9)
+    sizes, bins, n, nodes = [2, 8, 3, 2, 1, 2, 5], 8, 500, 2
+    columns = np.stack([rng.integers(0, k, n) for k in sizes]).astype(np.uint8)
+    groups = boost.bundles(sizes, bins)
+    assert sorted(j for g in groups for j in g) == list(range(len(sizes))) and len(groups) < len(sizes)
+    assert all(math.prod(sizes[j] for j in g) <= bins for g in groups)
+    weights = rng.integers(0, 9, n).astype(float)
+    cells = boost.joint(columns, sizes, groups)
+    hist = np.stack([[np.bincount(c, w, bins) for c in cells] for w in (weights, None)])
+    alone = np.stack([[np.bincount(c, w, bins) for c in columns] for w in (weights, None)])
+    assert (boost.unbundled(hist, sizes, groups) == np.moveaxis(alone, 0, -1)).all()
+
+
+def test_trees_do_not_depend_on_blocks_or_shared_histograms(spark, monkeypatch):
+    from plantwatch.session import materialise
+
+    rng = np.random.default_rng(5)
+    n = 600
+    x = np.stack([rng.integers(0, 2, n), np.round(rng.normal(size=n), 1), rng.integers(0, 2, n), rng.integers(0, 3, n)], axis=1)
+    y = ((x[:, 1] > 0) ^ (x[:, 0] * x[:, 3] > 0) ^ (rng.random(n) < 0.1)).astype(int)
+    df = spark.createDataFrame([(i, int(a), i % 3, [float(c) for c in r]) for i, (a, r) in enumerate(zip(y, x))],
+                               "id int, y int, fold int, x array<double>").repartition(2)
+    edges = boost.bin_edges(df.select(*[F.col("x")[j].alias(str(j)) for j in range(4)]), list("0123"), bins=32)
+    growths = [boost.Growth(0, 1, 3, 0.3, 5), boost.Growth(0, None, 4, 0.2, 2)]
+    counts = {(k, c): int(((np.arange(n) % 3 == k) & (y == c)).sum()) for k in range(3) for c in (0, 1)}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    grown = []
+    try:
+        for rows, sizes in ((1, None), (120, [[len(c) + 1 for c in edges]])):
+            monkeypatch.setattr(boost, "BLOCK_ROWS", rows)
+            blocks = materialise(boost.pack(df, "y", "fold", ["x"], [edges], ["id"]), "blocks")
+            held = [len(r["label"]) for r in blocks.select("label").collect()]
+            assert sum(held) == n and (len(held) > 4) == (rows == 1)
+            ensemble = boost.Ensemble(growths, [4], 4, boost.start_margins(counts, growths), sizes=sizes)
+            boost.grow_all(blocks, ensemble, 4)
+            grown.append(ensemble)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(grown[1].bundles[0]) < 4
+    for a, b in zip(grown[0].trees, grown[1].trees):
+        assert (a.feature == b.feature).all() and (a.bin == b.bin).all() and np.allclose(a.value, b.value)
