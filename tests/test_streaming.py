@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -233,3 +234,41 @@ def test_without_the_setting_only_a_local_master_gets_a_folder():
     assert shared_folder(local) == shared_folder(local)
     with pytest.raises(RuntimeError):
         shared_folder(_Bare("yarn"))
+
+
+def test_state_lies_on_disk_and_the_first_run_needs_one_batch(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    start, folder = datetime(2024, 1, 1), f"{tmp_path}/in"
+    ddl = "device_id string, t timestamp"
+    spark.createDataFrame([(f"d{i % 3}", start + timedelta(hours=i)) for i in range(48)], ddl).write.parquet(folder)
+
+    def stream():
+        rows = spark.readStream.schema(ddl).parquet(folder).withWatermark("t", "1 hour")
+        return rows.groupBy("device_id", F.window("t", "6 hours")).count()
+
+    def drain():
+        spark.createDataFrame([("last", start + timedelta(days=9))], ddl).write.mode("append").parquet(folder)
+
+    before = {name: spark.conf.get(name, None) for name in (*jobs.STATE, *jobs.ONE_PASS)}
+    results = []
+    for settings, batches in ((None, 2), (jobs.ONE_PASS, 1)):
+        seen = []
+
+        def counted():
+            seen.append({c: len(list(c.joinpath("offsets").glob("[0-9]*"))) for c in checkpoints()})
+            drain()
+
+        def checkpoints():
+            return [p for p in Path(spark.conf.get("spark.checkpoint.dir"), "plantwatch").glob("on-disk-checkpoint-*")]
+
+        known = set(checkpoints())
+        written, closed = jobs.run_and_drain(stream, counted, "on-disk", settings)
+        own, = set(checkpoints()) - known
+        assert seen[0][own] == batches and (closed > 0) == (batches == 2)
+        assert "RocksDBStateStoreProvider" in own.joinpath("offsets", "0").read_text()
+        results.append(sorted((r.device_id, r.window.start, r["count"]) for r in written.collect() if r.device_id != "last"))
+        spark.read.parquet(folder).filter("device_id != 'last'").write.parquet(f"{tmp_path}/in-{batches}")
+        folder = f"{tmp_path}/in-{batches}"
+    assert results[0] == results[1] and sum(n for *_, n in results[0]) == 48
+    assert {name: spark.conf.get(name, None) for name in before} == before
