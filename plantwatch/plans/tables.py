@@ -18,6 +18,7 @@ from plantwatch.operators.coherence import key_violations
 from plantwatch.operators.rules import DEVICE_RULES, FAILURE_RULES, MAINTENANCE_RULES, TELEMETRY_RULES, expect_all
 from plantwatch.plans import gold, silver
 from plantwatch.schemas import ML_FEATURES_KEY
+from plantwatch.session import side_by_side
 from plantwatch.sources.tables import save_table, snapshot
 
 Inputs = dict[str, DataFrame]
@@ -75,17 +76,24 @@ def build_tables(
 ) -> list[str]:
     """Write all tables to a database, sources first; the names in the order they were made.
 
+    Tables that do not wait for each other are made at the same time, since none keeps all cores busy to its end.
     ``done`` names tables of an earlier run that are kept as they are.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     known = {t.name: t for t in tables}
-    order = [n for n in TopologicalSorter({t.name: t.reads for t in tables}).static_order() if n in known]
-    for name in order:
-        if name in done:
-            continue
+
+    def make(name: str) -> None:
         table = known[name]
         inputs = [snapshot(spark, f"{database}.{r}") if r in known else sources[r] for r in table.reads]
         save_table(table.build(*inputs), f"{database}.{name}", table.comment, table.properties)
+
+    order, waiting = [], TopologicalSorter({t.name: t.reads for t in tables})
+    waiting.prepare()
+    while waiting.is_active():
+        ready = waiting.get_ready()
+        side_by_side(spark, make, [n for n in ready if n in known and n not in done])
+        order += [n for n in ready if n in known]
+        waiting.done(*ready)
     return order
 
 

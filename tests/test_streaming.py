@@ -272,3 +272,22 @@ def test_state_lies_on_disk_and_the_first_run_needs_one_batch(spark, tmp_path):
         folder = f"{tmp_path}/in-{batches}"
     assert results[0] == results[1] and sum(n for *_, n in results[0]) == 48
     assert {name: spark.conf.get(name, None) for name in before} == before
+
+
+def test_tables_that_do_not_wait_for_each_other_are_made_together(spark, tmp_path):
+    from threading import Barrier
+
+    from plantwatch.plans.tables import Table, build_tables
+
+    met = Barrier(2, timeout=60)
+
+    def both(rows):
+        met.wait()
+        return rows.withColumn("more", F.col("id") + 1)
+
+    plan = (*(Table(n, ("source",), both, n, "bronze") for n in ("a", "b")),
+            Table("c", ("a", "b"), lambda a, b: a.unionByName(b), "c", "silver"))
+    order = build_tables(spark, plan, {"source": spark.range(5)}, "declared_together", str(tmp_path / "db"))
+    assert sorted(order[:2]) == ["a", "b"] and order[2] == "c"
+    assert snapshot(spark, "declared_together.c").count() == 10
+    spark.sql("DROP DATABASE declared_together CASCADE")
