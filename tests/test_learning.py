@@ -369,3 +369,46 @@ def test_trees_do_not_depend_on_blocks_or_shared_histograms(spark, monkeypatch):
     assert len(grown[1].bundles[0]) < 4
     for a, b in zip(grown[0].trees, grown[1].trees):
         assert (a.feature == b.feature).all() and (a.bin == b.bin).all() and np.allclose(a.value, b.value)
+
+
+def test_few_rows_grow_the_same_trees_in_one_job(spark):
+    from plantwatch.session import materialise
+
+    rng = np.random.default_rng(7)
+    n = 900
+    x = np.stack([rng.integers(0, 2, n), np.round(rng.normal(size=n), 1), np.round(rng.normal(size=n), 1)], axis=1)
+    y = ((x[:, 1] > 0) ^ (x[:, 0] * x[:, 2] > 0) ^ (rng.random(n) < 0.1)).astype(int)
+    df = spark.createDataFrame([(i, int(a), i % 2, [float(c) for c in r]) for i, (a, r) in enumerate(zip(y, x))],
+                               "id int, y int, fold int, x array<double>").repartition(3)
+    edges = boost.bin_edges(df.select(*[F.col("x")[j].alias(str(j)) for j in range(3)]), list("012"), bins=8)
+    growths = [boost.Growth(0, without, depth, 0.3, least) for without in (0, 1, None) for depth in (2, 4) for least in (2, 40, 3)]
+    counts = {(k, c): int(((np.arange(n) % 2 == k) & (y == c)).sum()) for k in range(2) for c in (0, 1)}
+    sizes = [[len(c) + 1 for c in edges]]
+    blocks = materialise(boost.pack(df, "y", "fold", ["x"], [edges], ["id"]), "blocks")
+    grown = []
+    for grow in (boost.grow_all, boost.grow_held):
+        ensemble = boost.Ensemble(growths, [3], 5, boost.start_margins(counts, growths), 8, sizes)
+        jobs = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup(grow.__name__, grow.__name__)
+        kept = grow(blocks, ensemble, 5, (2, 5))
+        grown.append((ensemble, {
+            (t, r.model, r["keys"].id): r.score for t in kept for r in boost.held_out_scores(kept[t], ensemble, t).collect()
+        }, len(jobs.getJobIdsForGroup(grow.__name__))))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    (one, scores, many), (other, same, few) = grown
+    assert few < 10 < many  # no job per level
+    for a, b in zip(one.trees, other.trees):
+        assert (a.feature == b.feature).all() and (a.bin == b.bin).all() and np.allclose(a.value, b.value)
+    assert all(np.allclose(a, b) for a, b in zip(one.gains, other.gains))
+    assert scores.keys() == same.keys() and np.allclose([scores[k] for k in scores], [same[k] for k in scores])
+
+
+def test_rows_beyond_what_a_task_holds_are_shared(rows, monkeypatch):
+    asked = []
+    for name in ("grow_all", "grow_held"):
+        monkeypatch.setattr(boost, name, lambda *args, name=name, own=getattr(boost, name): asked.append(name) or own(*args))
+    n = rows.count()
+    for held in (n, n - 1):
+        monkeypatch.setattr(boost, "HELD_ROWS", held)
+        learn.fit_candidates(rows, [learn.BoostParams(trees=1, depth=1)], folds=0)
+    assert asked == ["grow_held", "grow_all"]
