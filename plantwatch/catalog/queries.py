@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import timedelta
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plantwatch.functions.bands import flag
 from plantwatch.ml import evaluate, features as prep, split, train as learn
@@ -61,13 +61,18 @@ def entities(spark: SparkSession, folder: str) -> Entities:
     return Entities(spark, folder)
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """What ``F.round`` gives, which goes by decimals; whole numbers, as most sensors give, need none. Zero has no sign."""
+    return F.when(c == F.rint(c), c + F.lit(0.0)).otherwise(F.round(c, digits))
+
+
 def comparable(df: DataFrame, digits: int = 8) -> DataFrame:
     """Plain types and rounded doubles, so results can be compared across engines."""
     columns = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), digits)
+            c = rounded(c.cast("double"), digits)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         elif isinstance(f.dataType, T.TimestampType):

@@ -42,30 +42,31 @@ def telemetry_clean(
         "facility",
         "manufacturer",
         "model",
-        repair_ts("installation_date").alias("_installed"),
-        repair_ts("last_maintenance").alias("_maintained"),
-        repair_ts("next_scheduled_maintenance").alias("_next"),
+        # Days, so that they are found once a device and not once a reading.
+        F.to_date(repair_ts("installation_date")).alias("_installed"),
+        F.to_date(repair_ts("last_maintenance")).alias("_maintained"),
+        F.to_date(repair_ts("next_scheduled_maintenance")).alias("_next"),
     )
     readings = telemetry.select(
         "device_id", repair_ts("timestamp").alias("timestamp"), *SENSORS, "ingestion_time"
     )
-    ts = F.col("timestamp")
+    ts, day = F.col("timestamp"), F.to_date("timestamp")
     return join(readings, devices, "device_id", "inner", dim_bytes).select(
         "device_id",
         "timestamp",
         hour_of(ts).alias("reading_hour"),
-        F.to_date(ts).alias("reading_date"),
+        day.alias("reading_date"),
         F.hour(ts).alias("hour_of_day"),
-        F.dayofweek(ts).alias("day_of_week"),
+        F.dayofweek(day).alias("day_of_week"),
         "device_type",
         "location",
         "facility",
         "manufacturer",
         "model",
         *SENSORS,
-        calendar_days(ts, F.col("_installed")).alias("days_since_installation"),
-        calendar_days(ts, F.col("_maintained")).alias("days_since_last_maintenance"),
-        calendar_days(F.col("_next"), ts).alias("days_to_next_maintenance"),
+        calendar_days(day, F.col("_installed")).alias("days_since_installation"),
+        calendar_days(day, F.col("_maintained")).alias("days_since_last_maintenance"),
+        calendar_days(F.col("_next"), day).alias("days_to_next_maintenance"),
         "ingestion_time",
     )
 

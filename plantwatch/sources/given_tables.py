@@ -37,6 +37,7 @@ FAILURE_TYPES = (
 MAINTENANCE_TYPES = ("preventive", "corrective", "predictive", "emergency")
 PART_NAMES = ("sensor", "cable", "filter")
 READINGS_PER_EVENT = 12
+HOUR_FORMAT = "yyyy-MM-dd'T'HH:"
 ROWS_PER_TASK = 1_000_000
 ARRIVAL = "2024-02-01 00:00:00"
 
@@ -136,20 +137,26 @@ class Entities:
 
     @cached_property
     def telemetry(self) -> DataFrame:
+        ts, text = F.col("ts").cast("timestamp"), F.col("text")
+        # An event's time becomes text twice; its readings, within an hour from it, differ in hour and minute only.
+        # (The offset of a time zone changes on the hour.)
         events = self._read_spread("events", "event_id", READINGS_PER_EVENT).select(
-            F.col("event_id").alias("e"), F.col("ts").cast("timestamp").alias("ts"), "user_id", "value",
-            F.explode(F.sequence(F.lit(0), F.lit(READINGS_PER_EVENT - 1))).alias("r"),
-        )
+            F.col("event_id").alias("e"), "user_id", "value", F.minute(ts).alias("minute"), raw_text(ts).alias("text"),
+            F.date_format(ts + _hours(F.lit(1)), HOUR_FORMAT).alias("next_hour"),
+        ).select("*", F.explode(F.sequence(F.lit(0), F.lit(READINGS_PER_EVENT - 1))).alias("r"))
         e, r = F.col("e"), F.col("r")
-        ts = F.col("ts") + _minutes(r * 5)
-        unsplit = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+        minute = F.col("minute") + r * 5
+        hour = F.when(minute < 60, F.substring(text, 1, 14)).otherwise(F.col("next_hour"))
+        # After the minute: seconds and fraction, or seconds alone.
+        rest = F.when(e % 500 == 0, F.substring(text, 17, 3)).otherwise(F.substring(text, 17, 17))
+        timestamp = F.concat(hour, F.lpad((minute % 60).cast("string"), 2, "0"), rest)
         temperature = F.when(e % 997 == 0, F.lit(200.0)).otherwise(
             F.lit(45.0) + F.least(F.col("value"), F.lit(45.0)) + r % 3
         )
         return events.select(
             F.when(e % 2003 == 0, "").when(e % 1009 == 0, "DEV_UNKNOWN").otherwise(_id8(F.col("user_id")))
             .alias("device_id"),
-            F.when(e % 500 == 0, unsplit).otherwise(raw_text(ts)).alias("timestamp"),
+            timestamp.alias("timestamp"),
             F.when((e + r) % 20 != 0, temperature).alias("temperature"),
             (500 + e * 37 % 1000 + r).cast("double").alias("pressure"),
             F.when(e % 991 == 0, F.lit(-1.0)).otherwise((e * 11 % 130).cast("double") / 10).alias("vibration"),

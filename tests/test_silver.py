@@ -190,3 +190,40 @@ def test_usual_timestamps_are_cast_and_odd_ones_read_by_the_format(spark):
     by_format = F.try_to_timestamp(F.regexp_replace("raw", r"\.(\d{6})\.000000$", ".$1"), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
     assert df.filter(~repair_ts("raw").eqNullSafe(by_format)).count() == 0
     assert "cast(substring(raw" in str(repair_ts("raw")).lower()
+
+
+def test_readings_write_their_time_by_hour_and_minute(spark, small):
+    """An event's twelve texts from two formats, over hours, days and a change of the clocks."""
+    from plantwatch.functions.timefns import raw_text
+    from plantwatch.sources.given_tables import Entities
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    times = ["2024-01-05 10:00:00", "2023-12-31 23:07:59.123456", "2024-03-31 00:59:30.5", "2024-10-27 00:31:01", "2024-10-27 01:31:01", None]
+    rows = [(int(e), t, 7, 1.0) for k in (1, 500) for e, t in zip(range(k, k + len(times)), times)]
+    try:
+        for used in ("UTC", "Europe/Paris", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", used)
+            events = spark.createDataFrame(rows, "event_id long, ts string, user_id long, value double").withColumn(
+                "ts", F.col("ts").cast("timestamp"))
+            made = Entities(spark, small)
+            made._read_spread = lambda *args: events
+            ts = F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("r") * 5)
+            wanted = events.select("event_id", "ts", F.explode(F.sequence(F.lit(0), F.lit(11))).alias("r")).select(
+                F.when(F.col("event_id") % 500 == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(raw_text(ts)).alias("timestamp"))
+            found = made.telemetry.select("timestamp")
+            assert found.count() == 12 * len(rows)
+            assert found.exceptAll(wanted).count() == 0 and wanted.exceptAll(found).count() == 0
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+            assert "date_format" not in plan[:plan.index("Generate")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_whole_numbers_are_rounded_without_decimals(spark):
+    from plantwatch.catalog.queries import rounded
+
+    values = [0.0, -0.0, 1.0, -3.0, 0.1, 0.000000005, -0.000000005, 2.123456785, 1e300, -1e17, 5e-324,
+              float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    out = df.select(rounded(F.col("v"), 8).cast("string").alias("a"), F.round("v", 8).cast("string").alias("b")).collect()
+    assert [r.a for r in out] == [r.b for r in out]
