@@ -699,9 +699,9 @@ class _Stored:
 
 @lru_cache(maxsize=2)
 def _trained(stored: _Stored) -> tuple[learn.Trained, str]:
-    """The full search over one folder's rows, saved; shared by the queries that look at it."""
+    """The full search over one folder's rows, saved; shared by the queries that look at it, which fail if it does."""
     spark = SparkSession.active()
-    trained = learn.train(stored.frame, candidates=learn.expand_grid())
+    trained = learn.train(stored.frame, candidates=learn.expand_grid(), fallback=False)
     path = fresh_path(spark, "model")
     trained.save(path)
     return trained, path

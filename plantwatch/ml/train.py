@@ -128,6 +128,8 @@ def fit_candidates(
     scores = materialise(scored.join(F.broadcast(names), ["model", "trees"]).select(
         "keys.*", "candidate", "fold", "label", "score"), "cv-scores")
     areas = roc_auc_by(scores, ["candidate", "fold"], "label").collect()
+    if all(r["roc_auc"] is None for r in areas):
+        raise ValueError("no fold has rows of both classes to rank the candidates by")
     ranking = []
     for n, c in enumerate(candidates):
         own = [r["roc_auc"] for r in areas if r["candidate"] == n and r["roc_auc"] is not None]
@@ -146,6 +148,7 @@ class Trained:
     importances: list[tuple[str, float]] = field(default_factory=list)
     fitted: Fitted | None = None
     predictions: DataFrame | None = None
+    search_error: str | None = None  # why the search asked for is not what was fitted
 
     def importance_table(self, spark: SparkSession, top: int | None = None) -> DataFrame:
         """Features by importance, largest first; one row per feature column."""
@@ -165,6 +168,7 @@ class Trained:
             "model_id": uuid.uuid4().hex,
             "params": asdict(self.params),
             "tuning": self.tuning,
+            "search_error": self.search_error,
             "latest_training_hour_bucket": self.cutoff,
             "metrics": self.metrics,
             "class_weights": self.weights,
@@ -183,10 +187,12 @@ def train(
     params: BoostParams = BoostParams(),
     candidates: list[BoostParams] | None = None,
     keys: tuple[str, ...] = KEYS,
+    fallback: bool = True,
 ) -> Trained:
     """Split, optionally search, fit on the training side and evaluate on both sides.
 
-    If the search fails the given parameters are fitted instead, and recorded as such.
+    If the search fails the given parameters are fitted instead, and the failure is recorded as
+    ``search_error``; without ``fallback`` it is raised, for callers whose results are those of the search.
     """
     split = materialise(stratified_split(rows, LABEL, keys), "split")
     train_rows = split.filter("is_test = 0").drop("is_test")
@@ -194,16 +200,18 @@ def train(
     weights = {str(r[LABEL]): r["weight"] for r in class_weights(train_rows, LABEL).collect()}
     cutoff = training_cutoff(rows).first()["cutoff"]
 
-    fitted, tuning, metrics = None, "default_params", {}
+    fitted, tuning, metrics, failed = None, "default_params", {}, None
     if candidates:
         try:
             fitted = fit_candidates(train_rows, candidates, keys=keys)
             best = fitted.ranking[0]
             metrics["cv_auc"] = best["auc"]
             params, tuning = candidates[best["candidate"]], "grid_search"
-        except (PySparkException, Py4JError, ValueError):
+        except (PySparkException, Py4JError, ValueError) as error:
+            if not fallback:
+                raise
             log.exception("search failed, fitting %s", params)
-            fitted = None
+            fitted, failed = None, f"{type(error).__name__}: {error}"
     if fitted is None:
         fitted = fit_candidates(train_rows, [params], folds=0, keys=keys)
     model, ranked = fitted.model(params)
@@ -220,7 +228,7 @@ def train(
         tagged = predicted.withColumn("is_test", F.lit(int(side == "test")))
         predictions = tagged if predictions is None else predictions.unionByName(tagged)
     return Trained(
-        model, params, tuning, cutoff.isoformat() if cutoff else None, metrics, weights, ranked, fitted, predictions,
+        model, params, tuning, cutoff.isoformat() if cutoff else None, metrics, weights, ranked, fitted, predictions, failed,
     )
 
 
