@@ -423,6 +423,39 @@ def test_few_rows_grow_the_same_trees_in_one_job(spark):
     assert scores.keys() == same.keys() and np.allclose([scores[k] for k in scores], [same[k] for k in scores])
 
 
+def test_histograms_are_added_up_from_a_byte_a_group_in_parts_of_the_rows(monkeypatch):
+    rng = np.random.default_rng(4)
+    sizes, bins, n, nodes = [32, 2, 5, 3], 32, 1000, 3
+    columns = np.stack([rng.integers(0, k, n) for k in sizes]).astype(np.uint8)
+    cells = boost.joint(columns, sizes, boost.bundles(sizes, bins))
+    assert cells.itemsize == 1
+    local, weights = rng.integers(0, nodes, n), rng.normal(size=(2, n))
+    whole = boost._added(cells, local, *weights, nodes, bins)
+    monkeypatch.setattr(boost, "ADDED_ROWS", 64)
+    assert np.allclose(boost._added(cells, local, *weights, nodes, bins), whole, atol=1e-12)
+    for k, own in enumerate((*weights, None)):
+        for j, column in enumerate(cells):
+            assert np.allclose(whole[k, :, j].ravel(), np.bincount(local * bins + column, own, nodes * bins))
+
+
+def test_the_learning_table_is_derived_once_to_train_and_to_score(spark, small, monkeypatch):
+    trained, scored = [], []
+    monkeypatch.setattr(catalog, "_trained", lambda stored: trained.append(stored.frame) or (learn.Trained(None, None, "", None, {}, {}), ""))
+    monkeypatch.setattr(catalog, "score", lambda model, rows: scored.append(rows) or rows.selectExpr(
+        "*", "0.5 will_fail_probability", "1 will_fail_prediction"))
+    monkeypatch.setattr(ScoredTable, "append", lambda self, rows, path: scored.append(rows) or 0)
+    monkeypatch.setattr(ScoredTable, "read", lambda self: scored[-1])
+    made, asked = catalog._ml_table, []
+    monkeypatch.setattr(catalog, "_ml_table", lambda e: asked.append(e) or made(e))
+    for name in ("gbt_predictions", "gbt_predictions_check", "gbt_score_new"):
+        asked.clear()
+        catalog.queries()[name](spark, small)
+        assert len(asked) == 1
+    assert len(trained) == 3 and len(scored) == 6
+    # What is scored is read from the stored table, not from the given ones once more.
+    assert not [f for rows in scored for f in rows.inputFiles() if small in f]
+
+
 def test_rows_beyond_what_a_task_holds_are_shared(rows, monkeypatch):
     asked = []
     for name in ("grow_all", "grow_held"):
