@@ -275,3 +275,25 @@ def test_a_large_hashed_lookup_sorts_no_facts(spark):
     plan = lookup_join(facts, spark.range(5).withColumnRenamed("id", "k"), "k", dim_bytes=2, limit_bytes=1, shuffled="shuffle_hash")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in text and "Sort" not in text
+
+
+def test_a_streamed_lookup_is_joined_by_the_measured_size(spark, tmp_path):
+    facts = spark.range(200).select((F.col("id") % 7).cast("string").alias("k"), "id")
+    facts.write.parquet(str(tmp_path / "in"))
+    dim = spark.range(5).select(F.col("id").cast("string").alias("k"), F.col("id").alias("n"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # what Spark takes a device side of unknown size for
+    try:
+        for limit, wanted in ((1 << 20, "BroadcastHashJoin"), (1, "ShuffledHashJoin")):
+            stream = spark.readStream.schema(facts.schema).parquet(str(tmp_path / "in"))
+            joined = lookup_join(stream, dim, "k", limit_bytes=limit, shuffled="shuffle_hash")
+            written, query = jobs.run_available_now(joined)
+            assert wanted in query._jsq.explainInternal(False) and "SortMergeJoin" not in query._jsq.explainInternal(False)
+            want = facts.join(dim, "k").select(*joined.columns)
+            assert written.exceptAll(want).count() == 0 == want.exceptAll(written).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # Of a split lookup, what is shuffled is not sorted either.
+    split = split_lookup_join(facts, dim, "k", dim_bytes=BROADCAST_BYTES + 1, shuffled="shuffle_hash")
+    text = split._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text and split.count() == facts.join(dim, "k").count()
