@@ -291,3 +291,35 @@ def test_tables_that_do_not_wait_for_each_other_are_made_together(spark, tmp_pat
     assert sorted(order[:2]) == ["a", "b"] and order[2] == "c"
     assert snapshot(spark, "declared_together.c").count() == 10
     spark.sql("DROP DATABASE declared_together CASCADE")
+
+
+def test_state_leaves_the_local_disk_with_its_batch(spark, tmp_path):
+    sc = spark.sparkContext
+    local = Path(sc._jvm.org.apache.spark.util.Utils.getLocalDir(sc._jsc.sc().conf()))
+    before = set(local.glob("StateStoreId*"))
+    times = spark.range(500).select(F.timestamp_seconds(1704067200 + F.col("id") * 600).alias("t"), (F.col("id") % 9).alias("v"))
+    times.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(times.schema).parquet(str(tmp_path / "in")).withWatermark("t", "1 hour")
+    written, query = jobs.run_available_now(stream.groupBy(F.window("t", "1 hour").alias("w")).agg(F.sum("v").alias("v")))
+    assert query.lastProgress["stateOperators"] and written.count() > 50
+    held = [f for folder in set(local.glob("StateStoreId*")) - before for f in folder.rglob("*") if f.is_file()]
+    assert held == []
+
+
+def test_the_last_reading_is_that_of_the_clean_readings(spark, small):
+    from plantwatch.catalog import queries as catalog
+
+    e = catalog.entities(spark, small)
+    clean = catalog._clean(e)
+    last = catalog._last_reading(e)
+    assert last.t == clean.agg(F.max("timestamp")).first()[0]
+    assert clean.filter((F.col("timestamp") == F.lit(last.t)) & (F.col("device_id") == last.d)).count()
+
+
+def test_readings_of_a_split_stream_are_not_kept(spark, small, monkeypatch):
+    from plantwatch.catalog import queries as catalog
+
+    kept, run = [], jobs.run_in_batches
+    monkeypatch.setattr(jobs, "run_in_batches", lambda *args, keep=False, **options: kept.append(keep) or run(*args, keep=keep, **options))
+    rows = catalog.queries()["stream_telemetry_clean_split"](spark, small)
+    assert kept == [False] and rows.count() == catalog.queries()["telemetry_clean"](spark, small).count()
