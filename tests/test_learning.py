@@ -201,23 +201,24 @@ def test_a_failed_search_falls_back(rows, monkeypatch):
 
 
 def test_a_failed_search_is_not_shown_as_a_result(spark, small, rows, monkeypatch):
-    def broken(*args, **kwargs):
-        raise ValueError("no areas today")
+    search, areas = learn.fit_candidates, learn.roc_auc_by
+
+    def broken(train, candidates, folds=3, **options):
+        if folds:
+            raise ValueError("no areas today")
+        return search(train, candidates, folds, **options)
 
-    wanted = [learn.BoostParams(trees=1)]
     catalog._trained.cache_clear()
-    monkeypatch.setattr(learn, "expand_grid", lambda: wanted)
-    areas = learn.roc_auc_by
-    monkeypatch.setattr(learn, "roc_auc_by", broken)
+    monkeypatch.setattr(learn, "fit_candidates", broken)
     for name in ("gbt_grid_cv", "gbt_importances", "gbt_metrics"):
         with pytest.raises(ValueError, match="no areas today"):
             catalog.queries()[name](spark, small)
-    fallen = learn.train(rows, learn.BoostParams(trees=1, depth=1), candidates=wanted)
+    fallen = learn.train(rows, learn.BoostParams(trees=1, depth=1), candidates=[learn.BoostParams(trees=1)])
     assert fallen.search_error == "ValueError: no areas today"
     # Candidates that no fold can rank are not ranked.
     monkeypatch.setattr(learn, "roc_auc_by", lambda *args: areas(*args).withColumn("roc_auc", F.lit(None).cast("double")))
     with pytest.raises(ValueError, match="both classes"):
-        learn.train(rows, candidates=wanted, fallback=False)
+        search(rows, [learn.BoostParams(trees=1, depth=1)])
 
 
 def test_grid():
